@@ -25,6 +25,11 @@ def _schema(**fields: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
+def optional(schema: StructType) -> StructType:
+    """The same fields, all nullable."""
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def _texts(*names: str) -> dict[str, DataType]:
     return dict.fromkeys(names, TEXT)
 
