@@ -24,7 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from swipeline.functions.columns import epoch_second
@@ -158,55 +158,89 @@ def _with_history(df: DataFrame, config: FraudConfig) -> DataFrame:
     )
 
 
-def _conflict(countries: tuple[Column, Column], ids: tuple[Column, Column]) -> Column:
-    """Whether a set of transactions holds two with both another id and another country.
+def _changes(second: Column, first: Column, last: Column, located: Column, order: WindowSpec) -> Column:
+    """The nearest time, up to the present row, at which another value than the present one occurred.
 
-    Two different countries and two different ids in the set are enough: if no pair differed in
-    both, a third transaction would have to share its country with two different ones.
+    A row stands for one transaction or for one second of them; its values lie between ``first`` and
+    ``last``. Looking back from a row, the first row that differs is the one before its run of equal
+    values, so it is enough to note the previous time wherever a run begins, or the present time if
+    the row itself holds two values. Frames only ever grow, which keeps the pass linear.
     """
-    (first_country, last_country), (first_id, last_id) = countries, ids
-    return F.coalesce((first_country != last_country) & (first_id != last_id), F.lit(False))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    until_now = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    def previous(value: Column) -> Column:
+        return F.last(F.when(located, value), ignorenulls=True).over(earlier)
 
-def _located_id() -> Column:
-    return F.when(F.col("country_code").isNotNull(), F.col("transaction_id"))
+    begins = (previous(first) != first) | (previous(last) != last)
+    noted = F.when(first != last, second).when(begins, previous(second))
+    return F.last(F.when(located, noted), ignorenulls=True).over(until_now)
+
+
+def _conflict(second: Column, other_country: Column, other_id: Column, seconds: int) -> Column:
+    """Whether the look-back from a row holds a pair with both another country and another id.
+
+    Two different countries and two different ids in it are enough: if no pair differed in both,
+    a third transaction would have to share its country with two different ones.
+    """
+    near = (second - other_country <= seconds) & (second - other_id <= seconds)
+    return F.coalesce(near, F.lit(False))
+
+
+def _count_back(rows: Column, second: Column, by_second: WindowSpec, seconds: int) -> Column:
+    """Sum of ``rows`` over the last seconds: what has happened less what is too old to count.
+
+    Both frames start at the beginning, so Spark extends them instead of recomputing a sliding one.
+    """
+    so_far = F.sum(rows).over(by_second.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    too_old = F.sum(rows).over(by_second.rangeBetween(Window.unboundedPreceding, -seconds - 1))
+    return so_far - F.when(second.isNotNull(), F.coalesce(too_old, F.lit(0))).otherwise(0)
 
 
 def _ordinary(df: DataFrame, config: FraudConfig) -> DataFrame:
+    # The time order refines the order by second, so one sort serves every frame.
     card = Window.partitionBy("card_hash")
-    by_second = card.orderBy("_second")
-    recent = by_second.rangeBetween(-config.velocity_window_seconds, 0)
-    nearby = by_second.rangeBetween(-config.geo_window_seconds, 0)
-    earlier = card.orderBy("timestamp", "transaction_id").rowsBetween(Window.unboundedPreceding, -1)
-
-    countries = F.min("country_code").over(nearby), F.max("country_code").over(nearby)
-    ids = F.min(_located_id()).over(nearby), F.max(_located_id()).over(nearby)
+    in_order = card.orderBy("_second", "timestamp", "transaction_id")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    second, country, number = F.col("_second"), F.col("country_code"), F.col("transaction_id")
+    located = country.isNotNull()
     return (
         df.withColumns(
             {
-                "velocity_count": F.count(F.lit(1)).over(recent),
-                "_conflict": _conflict(countries, ids),
                 "_prior_rows": F.count(F.lit(1)).over(earlier),
                 "_prior_amounts": F.count("amount").over(earlier),
                 "_prior_total": F.sum("amount").over(earlier).cast("decimal(38,2)"),
+                "_other_country": _changes(second, country, country, located, in_order),
+                "_other_id": _changes(second, number, number, located, in_order),
+            }
+        )
+        .withColumns(
+            {
+                "velocity_count": _count_back(
+                    F.lit(1), second, card.orderBy("_second"), config.velocity_window_seconds
+                ),
+                "_conflict": _conflict(
+                    second, F.col("_other_country"), F.col("_other_id"), config.geo_window_seconds
+                ),
             }
         )
         .withColumn("_geo_hit", F.max("_conflict").over(card) & F.col("card_hash").isNotNull())
-        .drop("_conflict", "_second", "_route")
+        .drop("_conflict", "_other_country", "_other_id", "_second", "_route")
     )
 
 
 def _busy(df: DataFrame, config: FraudConfig) -> DataFrame:
     # Keys are structs so that an absent card or time is a key of its own, as in a window.
     moments = df.withColumn("_moment", F.struct("card_hash", "_second"))
+    located_id = F.when(F.col("country_code").isNotNull(), F.col("transaction_id"))
     seconds = moments.groupBy("_moment").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count("amount").alias("_amounts"),
         F.sum("amount").alias("_total"),
         F.min("country_code").alias("_first_country"),
         F.max("country_code").alias("_last_country"),
-        F.min(_located_id()).alias("_first_id"),
-        F.max(_located_id()).alias("_last_id"),
+        F.min(located_id).alias("_first_id"),
+        F.max(located_id).alias("_last_id"),
     )
     history = _carry_forward(_look_back(seconds, config))
 
@@ -228,7 +262,7 @@ def _busy(df: DataFrame, config: FraudConfig) -> DataFrame:
 
 
 def _look_back(seconds: DataFrame, config: FraudConfig) -> DataFrame:
-    """Range frames over the seconds of a card, slice by slice.
+    """Frames over the seconds of a card, slice by slice.
 
     A slice is at least as long as either look-back, so a second is needed in its own slice and at
     most in the next. A group holds no more rows than two slices have seconds.
@@ -246,16 +280,15 @@ def _look_back(seconds: DataFrame, config: FraudConfig) -> DataFrame:
         F.col("_number").eqNullSafe(F.col("_home")).alias("_own"),
     )
 
-    ordered = Window.partitionBy("_slice").orderBy("_second")
-    recent = ordered.rangeBetween(-config.velocity_window_seconds, 0)
-    nearby = ordered.rangeBetween(-config.geo_window_seconds, 0)
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("_slice").orderBy("_second")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    at, located = F.col("_second"), F.col("_first_country").isNotNull()
 
     def before(column: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("_own"), F.col(column))).over(earlier), F.lit(0))
 
-    countries = F.min("_first_country").over(nearby), F.max("_last_country").over(nearby)
-    ids = F.min("_first_id").over(nearby), F.max("_last_id").over(nearby)
+    other_country = _changes(at, F.col("_first_country"), F.col("_last_country"), located, in_order)
+    other_id = _changes(at, F.col("_first_id"), F.col("_last_id"), located, in_order)
     return copies.select(
         "_moment",
         "_slice",
@@ -263,8 +296,8 @@ def _look_back(seconds: DataFrame, config: FraudConfig) -> DataFrame:
         "_rows",
         "_amounts",
         "_total",
-        F.sum("_rows").over(recent).alias("velocity_count"),
-        _conflict(countries, ids).alias("_conflict"),
+        _count_back(F.col("_rows"), at, in_order, config.velocity_window_seconds).alias("velocity_count"),
+        _conflict(at, other_country, other_id, config.geo_window_seconds).alias("_conflict"),
         before("_rows").alias("_slice_rows"),
         before("_amounts").alias("_slice_amounts"),
         before("_total").alias("_slice_total"),
@@ -295,10 +328,12 @@ def _carry_forward(seconds: DataFrame) -> DataFrame:
             (F.max("_conflict").over(card) & F.col("_slice.card_hash").isNotNull()).alias("_geo_hit"),
         )
     )
+    # A conflict of the second itself is part of its card's; asking for it here as well makes both
+    # sides of the join need the same columns, so they share one scan and one shuffle.
     return seconds.join(slices, "_slice").select(
         "_moment",
         "velocity_count",
-        "_geo_hit",
+        (F.col("_geo_hit") | (F.col("_conflict") & F.col("_moment.card_hash").isNotNull())).alias("_geo_hit"),
         (F.col("_carried_rows") + F.col("_slice_rows")).alias("_before_rows"),
         (F.col("_carried_amounts") + F.col("_slice_amounts")).alias("_before_amounts"),
         (F.col("_carried_total") + F.col("_slice_total")).alias("_before_total"),

@@ -1,0 +1,153 @@
+"""What the optimiser makes of the operators: pushed filters, shuffles, joins."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from swipeline.operators import fraud, quality, reports, time_windows
+from swipeline.plans.binding import banks, card_stream, ledger, merchants, table
+from swipeline.plans.catalog import NOW
+from swipeline.sources.tables import read_table, write_table
+from swipeline.sources.zones import Zones
+
+from conftest import SF
+
+
+def initial(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def executed(df) -> str:
+    """The plan after AQE has run it."""
+    df.collect()
+    plan = initial(df)
+    assert "== Final Plan ==" in plan
+    return plan.split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def cards(spark, tmp_path_factory):
+    """The card stream as a table, so that plans show the operators alone."""
+    path = str(tmp_path_factory.mktemp("cards"))
+    card_stream(spark, SF).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def entries(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("entries"))
+    ledger(spark, SF).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def scanned(plan: str) -> set[str]:
+    return {tuple(sorted(m.split(","))) for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan)}
+
+
+def test_all_rules_on_ordinary_cards_share_one_shuffle_and_one_sort(cards):
+    plan = executed(fraud.apply_all_fraud_rules(cards))
+    assert len(re.findall(r"Exchange hashpartitioning\(card_hash", plan)) == 1
+    assert len(re.findall(r"\bSort \[", plan)) == 1
+    assert "Union" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_busy_cards_are_spread_and_never_grouped_by_card_alone(cards):
+    plan = executed(fraud.apply_all_fraud_rules(cards, fraud.FraudConfig(busy_card_rows=0)))
+    assert re.search(r"Exchange hashpartitioning\(_moment", plan)
+    assert re.search(r"Exchange hashpartitioning\(_slice", plan)
+    assert "hashpartitioning(card_hash" not in plan
+    assert "partial_count" in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_routing_reads_only_the_card(cards):
+    routed = cards.withColumn("_route", F.xxhash64("card_hash")).groupBy("_route").count()
+    assert "ReadSchema: struct<card_hash:string>" in initial(routed)
+    assert "ReadSchema: struct<card_hash:string>" in initial(fraud.apply_all_fraud_rules(cards))
+
+
+def test_single_rules_drop_what_they_do_not_use(cards):
+    plan = initial(fraud.flag_velocity(cards.select("card_hash", "timestamp", "transaction_id", "amount", "country_code")))
+    assert "_other_country" not in plan and "_prior_total" not in plan
+
+
+def test_reports_aggregate_before_the_shuffle(spark, entries):
+    plan = initial(reports.settlement(entries, banks(spark, SF, "acquirer_id"), banks(spark, SF, "issuer_id"), "d"))
+    assert "partial_sum" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(acquirer_id[^,]*, issuer_id", plan)) == 1
+    assert "PushedFilters: [In(transaction_type" in plan
+    assert "terminal_id" not in plan
+
+
+def test_chargebacks_read_the_facts_once(spark, entries):
+    plan = initial(reports.chargeback_ratios(entries, merchants(spark, SF), "d"))
+    assert plan.count("transaction_type:string") == 1
+    assert "BroadcastHashJoin" in plan
+
+
+def test_a_large_dimension_is_not_broadcast(spark, entries):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        plan = initial(reports.chargeback_ratios(entries, merchants(spark, SF), "d"))
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sliding_windows_expand_sums_not_rows(cards):
+    plan = initial(time_windows.issuer_cross_border_ratio(cards))
+    lines = plan.splitlines()
+    expand = next(i for i, line in enumerate(lines) if "Expand" in line)
+    assert any("partial_count(1)" in line for line in lines[expand:])
+
+
+def test_quality_report_scans(spark, entries):
+    plan = initial(quality.quality_report(entries, "d", NOW, merchants(spark, SF)))
+    facts = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "s_suppkey" not in s]
+    assert len(facts) == 3
+    assert "transaction_id:string" in facts and "merchant_id:string" in facts
+
+
+def test_filters_prune_folders_and_reach_the_scan(spark, entries, tmp_path):
+    zones = Zones.under(str(tmp_path))
+    write_table(entries.withColumn("date", F.to_date("timestamp").cast("string").substr(1, 4)), zones, "processed", "t", ["date"])
+    plan = initial(read_table(spark, zones, "processed", "t", [("date", "=", "1999"), ("amount", ">", 10)]).select("amount"))
+    assert re.search(r"PartitionFilters: \[isnotnull\(date", plan)
+    assert "GreaterThan(amount" in plan
+    assert "ReadSchema: struct<amount:decimal(18,2)>" in plan
+
+
+def test_no_operator_leaves_the_jvm(spark, cards, entries):
+    for df in (
+        fraud.apply_all_fraud_rules(cards),
+        time_windows.merchant_volume(cards),
+        reports.mcc_spending(entries, "d"),
+        quality.quality_report(entries, "d", NOW, merchants(spark, SF)),
+    ):
+        assert "Python" not in initial(df) and "ArrowEval" not in initial(df)
+
+
+def test_one_card_with_a_third_of_all_rows(spark):
+    """200,000 rows in one hour, a third of them on one card: both routes agree."""
+    rows = spark.range(200_000).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("card_hash"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 17_000).alias("timestamp"),
+        (F.pmod(F.hash("id"), F.lit(100)) + 1).cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("id") % 1000 == 0, "GB").otherwise("US").alias("country_code"),
+    )
+    results = []
+    for limit in (1_000_000, 10_000):
+        config = fraud.FraudConfig(velocity_max_txns=2, amount_multiplier=1.9, busy_card_rows=limit)
+        scored = fraud.apply_all_fraud_rules(rows, config)
+        results.append(
+            scored.groupBy("card_hash", "fraud_reasons")
+            .agg(F.count("*").alias("n"), F.sum(F.hash("transaction_id").cast("long")).alias("h"))
+            .orderBy("card_hash", "fraud_reasons").collect()
+        )
+    assert results[0] == results[1]
+    assert any(r.card_hash == "hot" and "VELOCITY" in r.fraud_reasons for r in results[0])
