@@ -2,7 +2,8 @@
 
 ``queries`` are this library's operators; ``baseline`` times the literal query shapes they replace
 (self-join, several SQL passes, two aggregates and a join, ...) on the same tables in the same
-session. Each figure is the best of ``BENCH_RUNS`` runs after one warm-up, results going nowhere.
+session. After a warm-up of everything, the two forms of a query run in turn; each figure is the best
+of ``BENCH_RUNS`` runs, results going nowhere.
 """
 
 from __future__ import annotations
@@ -109,20 +110,16 @@ def sink(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def best(run, runs: int) -> float:
-    times = []
-    for attempt in range(runs + 1):
-        began = time.perf_counter()
-        run()
-        if attempt:
-            times.append(time.perf_counter() - began)
-    return round(min(times), 3)
+def seconds(run) -> float:
+    began = time.perf_counter()
+    run()
+    return time.perf_counter() - began
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs, warm_up = int(os.environ.get("BENCH_RUNS", "3")), 1
     spark = open_session(
         "bench",
         master=f"local[{cpus}]",
@@ -135,8 +132,16 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
-    measured = {name: best(lambda: sink(queries[name](spark, sf_dir)), runs) for name in HEADLINE}
-    baseline = {name: best(lambda: shape(spark, sf_dir), runs) for name, shape in BASELINE.items()}
+    runs_of = {("queries", name): lambda name=name: sink(queries[name](spark, sf_dir)) for name in HEADLINE}
+    runs_of |= {("baseline", name): lambda shape=shape: shape(spark, sf_dir) for name, shape in BASELINE.items()}
+    taken = {key: [] for key in runs_of}
+    for attempt in range(warm_up + runs):
+        for key in sorted(runs_of, key=lambda k: k[1]):
+            elapsed = seconds(runs_of[key])
+            if attempt >= warm_up:
+                taken[key].append(elapsed)
+    measured = {name: round(min(t), 3) for (side, name), t in taken.items() if side == "queries"}
+    baseline = {name: round(min(t), 3) for (side, name), t in taken.items() if side == "baseline"}
     print(
         json.dumps(
             {

@@ -14,9 +14,11 @@ Cards are split in two sets, both computed exactly and put together again:
   seconds in slices of time that carry a copy of the seconds just before them, totals of earlier
   slices are carried forward, and each transaction then picks up the values of its second.
 
-The set of busy cards is a list of 64-bit hashes with at most rows / ``busy_card_rows`` entries, so
-its broadcast is bounded: 8 MB for 10^12 rows at the default. A hash collision only sends an
-ordinary card down the longer route. When the list is empty AQE removes the second branch.
+Which cards are busy is counted when a rule is applied, as ``pivot`` does for its columns: one job
+that reads the card column only. The answer is a list of 64-bit hashes with at most rows /
+``busy_card_rows`` entries, 8 MB for 10^12 rows at the default, so it is safe on the driver and in a
+broadcast. Without busy cards the plan is the plain window plan. A hash collision only sends an
+ordinary card down the longer route.
 """
 
 from __future__ import annotations
@@ -149,13 +151,21 @@ def _amount_flag(config: FraudConfig) -> Column:
 
 def _with_history(df: DataFrame, config: FraudConfig) -> DataFrame:
     """Add the ``_HISTORY`` columns; what a caller does not use is pruned from the plan."""
-    routed = df.withColumns({"_second": epoch_second(), "_route": F.xxhash64("card_hash")})
-    busy = F.broadcast(
-        routed.groupBy("_route").count().where(F.col("count") > config.busy_card_rows).select("_route")
-    )
-    return _ordinary(routed.join(busy, "_route", "left_anti"), config).unionByName(
-        _busy(routed.join(busy, "_route", "left_semi"), config)
-    )
+    timed = df.withColumn("_second", epoch_second())
+    busy = busy_cards(df, config.busy_card_rows)
+    if not busy:
+        return _ordinary(timed, config)
+    routed = timed.withColumn("_route", F.xxhash64("card_hash"))
+    listed = F.broadcast(df.sparkSession.createDataFrame([(b,) for b in busy], "_route long"))
+    ordinary = routed.join(listed, "_route", "left_anti").drop("_route")
+    gathered = routed.join(listed, "_route", "left_semi").drop("_route")
+    return _ordinary(ordinary, config).unionByName(_busy(gathered, config))
+
+
+def busy_cards(df: DataFrame, limit: int) -> list[int]:
+    """Hashes of the cards with more than ``limit`` rows: at most rows / ``limit`` of them."""
+    counts = df.groupBy(F.xxhash64("card_hash").alias("_route")).count()
+    return [row[0] for row in counts.where(F.col("count") > limit).select("_route").collect()]
 
 
 def _changes(second: Column, first: Column, last: Column, located: Column, order: WindowSpec) -> Column:
@@ -225,7 +235,7 @@ def _ordinary(df: DataFrame, config: FraudConfig) -> DataFrame:
             }
         )
         .withColumn("_geo_hit", F.max("_conflict").over(card) & F.col("card_hash").isNotNull())
-        .drop("_conflict", "_other_country", "_other_id", "_second", "_route")
+        .drop("_conflict", "_other_country", "_other_id", "_second")
     )
 
 
@@ -257,7 +267,7 @@ def _busy(df: DataFrame, config: FraudConfig) -> DataFrame:
                 "_prior_total": total.cast("decimal(38,2)"),
             }
         )
-        .select(*[c for c in df.columns if c not in ("_second", "_route")], *_HISTORY)
+        .select(*[c for c in df.columns if c != "_second"], *_HISTORY)
     )
 
 

@@ -89,22 +89,24 @@ def mcc_spending(txns: DataFrame, processing_date: str) -> DataFrame:
 def merchant_summary(txns: DataFrame, processing_date: str) -> DataFrame:
     """One row per merchant over all transaction types.
 
-    The category code is the one on the merchant's first transaction by id, so reruns agree.
+    The category code is the one on the merchant's first transaction by id, so reruns agree. It is
+    found apart from the other measures: it is a text, which Spark aggregates by sorting, and the
+    sort should not carry along the distinct count of cards.
     """
-    return (
-        txns.groupBy("merchant_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_txns"),
-            count_of("purchase").alias("purchase_count"),
-            count_of("refund").alias("refund_count"),
-            count_of("chargeback").alias("chargeback_count"),
-            volume_of("purchase").alias("purchase_volume"),
-            approval_rate().alias("approval_rate"),
-            F.countDistinct("card_hash").alias("unique_cards"),
-            F.min_by("merchant_category_code", "transaction_id").alias("merchant_category_code"),
-        )
-        .withColumn("processing_date", _dated(processing_date))
+    measures = txns.groupBy("merchant_id").agg(
+        F.count(F.lit(1)).alias("total_txns"),
+        count_of("purchase").alias("purchase_count"),
+        count_of("refund").alias("refund_count"),
+        count_of("chargeback").alias("chargeback_count"),
+        volume_of("purchase").alias("purchase_volume"),
+        approval_rate().alias("approval_rate"),
+        F.countDistinct("card_hash").alias("unique_cards"),
+    )
+    categories = txns.groupBy(F.col("merchant_id").alias("_merchant")).agg(
+        F.min_by("merchant_category_code", "transaction_id").alias("merchant_category_code")
     )
+    same = F.col("merchant_id").eqNullSafe(F.col("_merchant"))
+    return measures.join(categories, same).drop("_merchant").withColumn("processing_date", _dated(processing_date))
 
 
 def corridor_volume(txns: DataFrame, issuers: DataFrame, processing_date: str) -> DataFrame:

@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", "r_name"
@@ -46,8 +46,8 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _places(spark, sf_dir)
-    return table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
+    nations = places(spark, sf_dir)
+    return table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey",
         "s_name",
         F.col("s_nationkey").cast("string").alias("acquirer_id"),
@@ -57,8 +57,8 @@ def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _holders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _places(spark, sf_dir)
-    return table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    nations = places(spark, sf_dir)
+    return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey",
         F.col("c_nationkey").cast("string").alias("issuer_id"),
         F.col("r_name").alias("_holder_region"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from swipeline.functions.columns import card_token
 from swipeline.operators import fraud, quality, reports, time_windows, validation
-from swipeline.plans.binding import banks, card_stream, ledger, merchants, table
+from swipeline.plans.binding import banks, card_stream, ledger, merchants, places, table
 from swipeline.sources import kafka
 from swipeline.sources.landing import encode_json, parse_json, parsed, read_landing, write_landing
 from swipeline.sources.tables import read_table, write_date, write_processed, write_table
@@ -70,8 +70,10 @@ def merchant_summary(spark, sf_dir):
 
 @query
 def corridor_volume(spark, sf_dir):
-    # Only nations of even key are known issuers, so the fallback country is used as well.
-    known = banks(spark, sf_dir, "issuer_id").where(F.col("issuer_id").cast("int") % 2 == 0)
+    # The issuers of one region are unknown, so the fallback country is used as well.
+    known = places(spark, sf_dir).where("r_name <> 'AFRICA'").select(
+        F.col("n_nationkey").cast("string").alias("issuer_id"), F.col("n_name").alias("country_code")
+    )
     return reports.corridor_volume(ledger(spark, sf_dir), known, DATE)
 
 

@@ -220,7 +220,7 @@ SELECT issuer_country, country_code AS merchant_country, currency,
   '2024-01-15' AS processing_date
 FROM (
   SELECT txn.*, coalesce(n.n_name, country_code) AS issuer_country FROM txn
-  LEFT JOIN nation n ON n.n_nationkey % 2 = 0 AND CAST(n.n_nationkey AS VARCHAR) = issuer_id
+  LEFT JOIN places n ON n.r_name <> 'AFRICA' AND CAST(n.n_nationkey AS VARCHAR) = issuer_id
 )
 WHERE is_cross_border AND transaction_type IN ('purchase', 'p2p')
 GROUP BY issuer_country, country_code, currency""",

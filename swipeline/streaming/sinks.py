@@ -45,7 +45,7 @@ def fraud_batch_writer(path: str, config: FraudConfig) -> Callable[[DataFrame, i
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The rules read a batch up to four times; without this each would parse its files again.
+        # The rules read a batch more than once; without this each pass would parse its files again.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
@@ -64,14 +64,22 @@ def fraud_batch_writer(path: str, config: FraudConfig) -> Callable[[DataFrame, i
     return write
 
 
-def running_totals(df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str | None = None) -> StreamingQuery:
+def running_totals(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    name: str | None = None,
+    partition_by: tuple[str, ...] = ("date",),
+) -> StreamingQuery:
     """Store the totals that each batch changed, in the batch's own folder (``update`` mode).
 
-    Writes stay proportional to what changed; :func:`latest_totals` picks the current values.
+    Writes stay proportional to what changed; :func:`latest_totals` picks the current values, and a
+    filter on a partition column reads only those folders.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
     return _writer(df, checkpoint, trigger, name).outputMode("update").foreachBatch(write).start()
 

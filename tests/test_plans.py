@@ -66,7 +66,13 @@ def test_busy_cards_are_spread_and_never_grouped_by_card_alone(cards):
 def test_routing_reads_only_the_card(cards):
     routed = cards.withColumn("_route", F.xxhash64("card_hash")).groupBy("_route").count()
     assert "ReadSchema: struct<card_hash:string>" in initial(routed)
-    assert "ReadSchema: struct<card_hash:string>" in initial(fraud.apply_all_fraud_rules(cards))
+
+
+def test_the_list_of_busy_cards_is_bounded(cards):
+    rows, limit = cards.count(), 70
+    busy = fraud.busy_cards(cards, limit)
+    assert 0 < len(busy) <= rows / limit
+    assert fraud.busy_cards(cards, rows) == []
 
 
 def test_single_rules_drop_what_they_do_not_use(cards):
