@@ -162,3 +162,42 @@ def test_config_from_environment():
     config = FraudConfig.from_env({"FRAUD_VELOCITY_MAX_TXN": "9", "FRAUD_AMOUNT_MULTIPLIER": "2.5"})
     assert (config.velocity_max_txns, config.amount_multiplier) == (9, 2.5)
     assert config.velocity_window_seconds == 60
+
+
+@pytest.mark.parametrize("busy", [1_000_000, 8, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_geo_on_messy_histories_equals_the_self_join(txns, busy, seed):
+    """Repeated ids, absent countries and ties, on many short histories."""
+    rng = random.Random(seed)
+    rows = [
+        {
+            "transaction_id": f"id{rng.randrange(3)}",
+            "card_hash": f"card{i % 60}",
+            "country_code": rng.choice(["US", "US", "GB", None]),
+            "timestamp": at(seconds=rng.choice([0, 0, 50, 61, 110, 3595, 3605, 3700, 7190, 7300])),
+        }
+        for i in range(420 if seed == 1 else 180)
+    ]
+    df = txns(*rows)
+    want = {
+        a["card_hash"] for a in rows for b in rows
+        if a["card_hash"] == b["card_hash"] and a["transaction_id"] != b["transaction_id"]
+        and a["country_code"] and b["country_code"] and a["country_code"] != b["country_code"]
+        and 0 <= (a["timestamp"] - b["timestamp"]).total_seconds() <= 60
+    }
+    got = {r.card_hash for r in multi_country_cards(df, 1, busy).collect()}
+    assert got == want
+    assert 0 < len(want) < 60
+
+
+@pytest.mark.parametrize("busy", ROUTES)
+def test_absent_cards_and_times_are_groups_of_their_own(txns, busy):
+    df = txns(
+        {"card_hash": None}, {"card_hash": None, "country_code": "GB"},
+        {"timestamp": None}, {"timestamp": None}, {},
+    )
+    out = {r.transaction_id: r for r in flag_velocity(df, 60, 5, busy).collect()}
+    assert [out[f"t{i:04d}"].velocity_count for i in range(5)] == [2, 2, 2, 2, 1]
+    assert multi_country_cards(df, 30, busy).count() == 0
+    amounts = {r.transaction_id: r.prior_sample_count for r in flag_amount_anomaly(df, busy_card_rows=busy).collect()}
+    assert [amounts[f"t{i:04d}"] for i in range(5)] == [0, 1, 0, 1, 2]
