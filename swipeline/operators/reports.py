@@ -16,6 +16,7 @@ from swipeline.functions.columns import (
     MONEY_SUM,
     approval_rate,
     count_of,
+    distinct_count,
     magnitude,
     mean_magnitude,
     share,
@@ -100,7 +101,7 @@ def merchant_summary(txns: DataFrame, processing_date: str) -> DataFrame:
         count_of("chargeback").alias("chargeback_count"),
         volume_of("purchase").alias("purchase_volume"),
         approval_rate().alias("approval_rate"),
-        F.countDistinct("card_hash").alias("unique_cards"),
+        distinct_count("card_hash").alias("unique_cards"),
     )
     categories = txns.groupBy(F.col("merchant_id").alias("_merchant")).agg(
         F.min_by("merchant_category_code", "transaction_id").alias("merchant_category_code")

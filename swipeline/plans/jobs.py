@@ -130,21 +130,25 @@ def gate_passed(spark: SparkSession, date: str, zones: Zones) -> bool:
         return False
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
+    """Command line of the jobs; the exit code is 1 when the gate is closed."""
     parser = argparse.ArgumentParser(description="Run one batch job")
-    parser.add_argument("job", choices=[*REPORTS, "processed", "quality"])
+    parser.add_argument("job", choices=[*REPORTS, "processed", "quality", "gate"])
     parser.add_argument("--date", required=True, help="processing date, YYYY-MM-DD")
     parser.add_argument("--threshold", type=float, default=0.02, help="chargeback ratio that flags a merchant")
+    parser.add_argument("--max-age-hours", type=float, default=2.0, help="age at which data is stale")
+    parser.add_argument("--shuffle-partitions", type=int, default=64)
     args = parser.parse_args(argv)
-    spark, zones = open_session(f"swipeline-{args.job}"), Zones.from_env(os.environ)
+    logging.basicConfig(level=os.environ.get("LOG_LEVEL", "INFO"))
+    spark = open_session(f"swipeline-{args.job}", shuffle_partitions=args.shuffle_partitions)
+    zones = Zones.from_env(os.environ)
+    if args.job == "gate":
+        return 0 if gate_passed(spark, args.date, zones) else 1
     if args.job == "quality":
-        run_quality(spark, args.date, zones)
+        run_quality(spark, args.date, zones, max_age_hours=args.max_age_hours)
     elif args.job == "processed":
         run_processed(spark, args.date, zones)
     else:
         params = {"threshold": args.threshold} if args.job == "chargebacks" else {}
         run_job(spark, args.job, args.date, zones, **params)
-
-
-if __name__ == "__main__":
-    main()
+    return 0

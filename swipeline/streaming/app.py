@@ -78,7 +78,3 @@ def main() -> None:
     seconds = env.get("STREAMING_TRIGGER_SECONDS", "30")
     triggers = Triggers(fraud={"processingTime": f"{seconds} seconds"})
     wait(spark, start(source, zones, FraudConfig.from_env(env), triggers))
-
-
-if __name__ == "__main__":
-    main()

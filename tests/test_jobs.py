@@ -94,6 +94,21 @@ def test_processed_job(spark, zones):
     assert read_table(spark, zones, "processed", "transactions").count() == 2
 
 
+def test_command_line(spark, zones, monkeypatch):
+    for zone in ("landing", "processed", "analytics", "seeds"):
+        monkeypatch.setenv(f"{zone.upper()}_ZONE_PATH" if zone != "seeds" else "SEEDS_PATH", getattr(zones, zone))
+    monkeypatch.setenv("QUALITY_RESULTS_PATH", zones.quality)
+    monkeypatch.setattr(jobs, "open_session", lambda name, **kwargs: spark)
+    assert jobs.main(["chargebacks", "--date", DAY, "--threshold", "0.9"]) == 0
+    out = read_table(spark, zones, "analytics", "chargeback_ratios").first()
+    assert (out.threshold_applied, out.is_flagged) == (0.9, True)
+    assert jobs.main(["quality", "--date", DAY, "--max-age-hours", "1000000"]) == 0
+    assert jobs.main(["gate", "--date", DAY]) == 0
+    assert jobs.main(["gate", "--date", NEXT]) == 1
+    with pytest.raises(SystemExit):
+        jobs.main(["other", "--date", DAY])
+
+
 def test_profiles():
     assert profile("streaming")["spark.sql.streaming.metricsEnabled"] == "true"
     assert "spark.sql.streaming.metricsEnabled" not in profile("batch")
