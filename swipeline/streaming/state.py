@@ -9,6 +9,9 @@ look-back window.
 
 Two differences from the table form follow from working forward in time: the mean covers the seconds
 before the present one, and a geography alert holds from the offending second on.
+
+State per card is four numbers and the active seconds of the longest look-back. It stays for as long
+as the card is known, since the mean runs over the whole history.
 """
 
 from __future__ import annotations
