@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def text_or_empty(column: str = "text") -> Column:
 def batches_of(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of a record batch whose texts hold about ``limit`` bytes each, a row at least."""
     held, first = 0, 0
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     for i, size in enumerate(sizes):
         if held and held + (size or 0) > limit:
             yield batch.slice(first, i - first)
