@@ -6,9 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from swipeline.llm.common import table
 from swipeline.llm.exact import exact_dedup, halves
+from swipeline.llm.language import fit, identify
+from swipeline.llm.mixing import mix
+from swipeline.llm.packing import pack
 from swipeline.llm.simhash import simhash_groups
 
 
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file, by the package that comes with them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -19,7 +37,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(incoming, history)
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_dedup, op9_exact_dedup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_mixing, op6_simhash_dedup, op9_exact_dedup, op10_language_id)}
 
 ORACLES = {
     "op9_exact_dedup": """
