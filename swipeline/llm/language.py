@@ -272,3 +272,20 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     columns = docs.select("doc_id", _held_out().alias("held_out"), "text")
     return columns.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def reject_unknown(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more.
+
+    Rejects null texts, texts without a letter, and texts so even between languages that no one of
+    them has three tenths. Empty tables stay empty; further columns pass.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in batches_of(whole, "text", 8 << 20):
+                lang, score = predict(shared.value, batch.column("text").to_pylist())
+                yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)]))
+
+    return docs.mapInArrow(run, docs.schema)
