@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from swipeline.llm.common import table
 from swipeline.llm.exact import exact_dedup, halves
 from swipeline.llm.language import fit, identify
 from swipeline.llm.mixing import mix
 from swipeline.llm.packing import pack
+from swipeline.llm.personal import personal_spans, summary
 from swipeline.llm.simhash import simhash_groups
+from swipeline.llm.urls import filter_urls, host_of
+from swipeline.llm.wordpiece import token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,10 +31,43 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary(personal_spans(table(spark, sf_dir, "documents")))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures by page, against two lists made from the hosts themselves.
+
+    The table has no fetch times, so a page's day follows from its id. Every host, and what is left
+    of it without its first label, is an entry of list 'adult' or 'spam' by its length, added and
+    removed again on days that follow from its letters.
+    """
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("fetched")
+    )
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host is not null").distinct()
+    names = hosts.select("host", F.explode(F.array("host", F.regexp_replace("host", r"^[^.]*\.", ""))).alias("domain"))
+    names = names.where(r"domain rlike '[.].*[.]'").select("domain").distinct()
+    list_name = F.when(F.length("domain") % 2 == 0, "adult").otherwise("spam").alias("list_name")
+    start = (F.crc32(F.col("domain").cast("binary")) % 200).cast("int")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n)
+    dated = F.array(
+        F.struct(day(start).alias("day"), F.lit("add").alias("action")),
+        F.struct(day(start + 60).alias("day"), F.lit("remove").alias("action")),
+        F.struct(day(start + 120).alias("day"), F.lit("add").alias("action")),
+    )
+    changes = names.select(list_name, "domain", F.explode(dated).alias("c")).select("list_name", "domain", "c.day", "c.action")
+    return filter_urls(pages, changes)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier half of the ids is the history, the rest comes in against it."""
     history, incoming = halves(table(spark, sf_dir, "documents"))
@@ -42,7 +79,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_mixing, op6_simhash_dedup, op9_exact_dedup, op10_language_id)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_mixing,
+        op3_token_counts,
+        op5_personal_data,
+        op6_simhash_dedup,
+        op8_url_filters,
+        op9_exact_dedup,
+        op10_language_id,
+    )
+}
 
 ORACLES = {
     "op9_exact_dedup": """
