@@ -13,6 +13,7 @@ from swipeline.llm.packing import pack
 from swipeline.llm.personal import personal_spans, summary
 from swipeline.llm.simhash import simhash_groups
 from swipeline.llm.urls import filter_urls, host_of
+from swipeline.llm.vectors import near_vectors
 from swipeline.llm.wordpiece import token_counts
 
 
@@ -35,6 +36,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(personal_spans(table(spark, sf_dir, "documents")))
 
@@ -85,6 +90,7 @@ QUERIES = {
         op1_packing,
         op2_mixing,
         op3_token_counts,
+        op4_near_vectors,
         op5_personal_data,
         op6_simhash_dedup,
         op8_url_filters,
