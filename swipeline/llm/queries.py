@@ -11,6 +11,7 @@ from swipeline.llm.language import fit, identify
 from swipeline.llm.mixing import mix
 from swipeline.llm.packing import pack
 from swipeline.llm.personal import personal_spans, summary
+from swipeline.llm.repeats import remove_repeats
 from swipeline.llm.simhash import simhash_groups
 from swipeline.llm.urls import filter_urls, host_of
 from swipeline.llm.vectors import near_vectors
@@ -48,6 +49,10 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures by page, against two lists made from the hosts themselves.
 
@@ -93,6 +98,7 @@ QUERIES = {
         op4_near_vectors,
         op5_personal_data,
         op6_simhash_dedup,
+        op7_repeated_strings,
         op8_url_filters,
         op9_exact_dedup,
         op10_language_id,

@@ -164,25 +164,28 @@ def _links_in_blocks(members: DataFrame, threshold: float, block: int, buckets:
     bucket = F.when(F.col("blocks") > 1, F.col("component")).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(buckets)))
     rows = rows.select("component", "rep", "n", "unit", "own", bucket.alias("bucket"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     left = rows.select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), "component", "rep", "unit")
-    right = rows.select("bucket", F.col("other").alias("i"), F.col("own").alias("j"), "component", "rep", "unit", "n")
+    names = {"bucket": "bucket", "other": "i", "own": "j", "component": "c", "rep": "r", "unit": "u", "n": "m"}
+    right = rows.select(*[F.col(old).alias(new) for old, new in names.items()])
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         out_rep, out_links = [], []
-        whose_a, whose_b = a.column("component").to_numpy(), b.column("component").to_numpy()
+        whose_a, whose_b = a.column("component").to_numpy(), b.column("c").to_numpy()
         order_a, order_b = np.argsort(whose_a, kind="stable"), np.argsort(whose_b, kind="stable")
         parts, first = np.unique(whose_a[order_a], return_index=True)
         for part, at, end in zip(parts, first, [*first[1:], len(order_a)]):
             x = order_a[at:end]
             lo, hi = np.searchsorted(whose_b[order_b], [part, part + 1])
             y = order_b[lo:hi]
-            ids, others = a.column("rep").to_numpy()[x], b.column("rep").to_numpy()[y]
-            near = _matrix(a.column("unit").take(pa.array(x))) @ _matrix(b.column("unit").take(pa.array(y))).T >= threshold
+            ids, others = a.column("rep").to_numpy()[x], b.column("r").to_numpy()[y]
+            near = _matrix(a.column("unit").take(pa.array(x))) @ _matrix(b.column("u").take(pa.array(y))).T >= threshold
             near &= ids[:, None] != others[None, :]
             out_rep.append(ids)
-            out_links.append(near @ b.column("n").to_numpy()[y])
+            out_links.append(near @ b.column("m").to_numpy()[y])
         empty = [np.empty(0, np.int64)]
         return pa.table({"rep": pa.array(np.concatenate(out_rep or empty)), "links": pa.array(np.concatenate(out_links or empty))})
 
+    # Spark can't tell the sides of a self-join apart by columns they share, hence the new names.
+    left = left.toDF("bucket", "i", "j", "component", "rep", "unit")
     cells = ["bucket", "i", "j"]
     counted = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(run, "rep long, links long")
     return counted.groupBy("rep").agg(F.sum("links").alias("links"))
