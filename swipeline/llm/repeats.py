@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swipeline.llm.common import batches_of, stored, text_or_empty
@@ -240,19 +240,17 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 def repeated_strings(docs: DataFrame, length: int, gram: int, at_once: int, hot: int) -> DataFrame:
     """(doc, crc, lo, hi): first and last starts of repeated strings, by text."""
     found = runs(docs, length, gram)
-    anchor = Window.partitionBy("key")
-    alike = Window.partitionBy("key", "whole", "n")
-    # One shuffle by anchor serves all three windows; frames are whole groups and spill.
-    known = stored(
-        found.withColumn("of_key", F.count("*").over(anchor))
-        .withColumn("of_whole", F.count("*").over(alike))
-        .withColumn("nth", F.row_number().over(alike.orderBy("doc", "lo")))
-        .where("of_key > 1"),
-        "anchors",
+    # Counted before the shuffle and joined back, so that an anchor in every text is no task's group.
+    often = found.groupBy("key").agg(F.count("*").alias("of_key")).where("of_key > 1")
+    known = stored(found.join(often, "key"), "anchors")
+    alike = known.groupBy("key", "whole", "n").agg(
+        F.count("*").alias("of_whole"), F.max("of_key").alias("of_key"), F.min(F.struct("doc", "crc", "lo")).alias("first")
+    )
+    entire = known.join(alike.where("of_whole > 1").select("key", "whole", "n"), ["key", "whole", "n"], "left_semi").select(
+        "doc", "crc", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")
     )
-    entire = known.where("of_whole > 1").select("doc", "crc", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
     # One of each group of equal contexts stands for them in the comparison.
-    open_runs = known.where("of_key > of_whole and nth = 1")
+    open_runs = alike.where("of_key > of_whole").select("key", "n", "of_key", "first.*")
     asked = open_runs.groupBy("doc", "crc").agg(
         F.collect_list(F.struct("key", "lo", "n", (F.col("of_key") > hot).alias("hot"))).alias("runs")
     )
