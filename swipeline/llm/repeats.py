@@ -240,8 +240,9 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 def repeated_strings(docs: DataFrame, length: int, gram: int, at_once: int, hot: int) -> DataFrame:
     """(doc, crc, lo, hi): first and last starts of repeated strings, by text."""
     found = runs(docs, length, gram)
-    # Counted before the shuffle and joined back, so that an anchor in every text is no task's group.
-    often = found.groupBy("key").agg(F.count("*").alias("of_key")).where("of_key > 1")
+    # Counted before the shuffle, stored and joined back, so that an anchor in every text is no task's
+    # group: Spark splits a skewed join only where both sides come straight from their shuffles.
+    often = stored(found.groupBy("key").agg(F.count("*").alias("of_key")).where("of_key > 1"), "often")
     known = stored(found.join(often, "key"), "anchors")
     alike = known.groupBy("key", "whole", "n").agg(
         F.count("*").alias("of_whole"), F.max("of_key").alias("of_key"), F.min(F.struct("doc", "crc", "lo")).alias("first")
