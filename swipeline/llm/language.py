@@ -21,7 +21,6 @@ from swipeline.llm.common import batches_of
 
 UNKNOWN = "und"
 _BITS = 16
-_KNOWN: dict[int, tuple[dict, np.ndarray]] = {}
 
 
 @dataclass
@@ -32,7 +31,34 @@ class Model:
     weights: np.ndarray
     transitions: np.ndarray
     lexicon: dict[bytes, int]
-    key: int = 0
+
+
+class Words:
+    """Scores of the words that a task has met; beyond ``room`` it starts anew, so its size is bounded."""
+
+    def __init__(self, model: Model, room: int = 250_000):
+        self.model, self.room = model, room
+        self.row: dict[str, int] = {}
+        self.parts: list[np.ndarray] = []
+        self.rows = 0
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.row) > self.room:
+            self.row, self.parts, self.rows = {}, [], 0
+        new = list(words.difference(self.row))
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            cores = [core_of(w) for w in some]
+            lettered = [c for c in cores if c]
+            flat, owner = _flat(lettered, self.model.lexicon)
+            self.parts.append(_scores(self.model.weights, flat, owner, len(lettered)))
+            for word, core in zip(some, cores, strict=True):
+                self.row[word] = self.rows if core else -1
+                self.rows += bool(core)
+
+    def table(self) -> np.ndarray:
+        self.parts = [np.concatenate(self.parts)] if self.parts else [np.zeros((0, len(self.model.labels)))]
+        return self.parts[0]
 
 
 def core_of(word: str) -> bytes:
@@ -176,27 +202,18 @@ def train(texts: list[str], langs: list[str], words: int = 96, rounds: int = 30,
         g = (observed - expected) / len(word) - 1e-6 * moves
         sum_m += g * g
         moves += 0.3 * g / np.sqrt(sum_m)
-    return Model(labels, weights.astype(np.float32), moves, lexicon, zlib.crc32(weights.tobytes()))
+    return Model(labels, weights.astype(np.float32), moves, lexicon)
 
 
-def predict(model: Model, texts: list[str | None], room: int = 400_000) -> tuple[list[str], np.ndarray]:
+def predict(model: Model, texts: list[str | None], words: Words | None = None) -> tuple[list[str], np.ndarray]:
     """Language and score of whole texts; the score is the mean posterior of that language."""
     if not model.labels:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    known, table = _KNOWN.get(model.key, ({}, np.zeros((0, len(model.labels)))))
-    if len(known) > room:
-        known, table = {}, table[:0]
+    words = words or Words(model)
     split = [(t or "").split() for t in texts]
-    new = list(set().union(*split).difference(known)) if split else []
-    cores = [core_of(w) for w in new]
-    lettered = [i for i, c in enumerate(cores) if c]
-    flat, owner = _flat([cores[i] for i in lettered], model.lexicon)
-    row = dict.fromkeys(range(len(new)), -1) | {i: len(table) + j for j, i in enumerate(lettered)}
-    known.update((w, row[i]) for i, w in enumerate(new))
-    table = np.concatenate([table, _scores(model.weights, flat, owner, len(lettered))])
-    _KNOWN.clear()
-    _KNOWN[model.key] = known, table
-    rows = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in split]
+    words.learn(set().union(*split))
+    table, find = words.table(), words.row.__getitem__
+    rows = [np.fromiter(map(find, held), np.int64, len(held)) for held in split]
     rows = [r[r >= 0] for r in rows]
     n = np.array([len(r) for r in rows])
     order = np.argsort(-n, kind="stable")
@@ -204,12 +221,12 @@ def predict(model: Model, texts: list[str | None], room: int = 400_000) -> tuple
     best, score = np.full(len(texts), -1), np.zeros(len(texts))
     first = 0
     while first < len(order):
-        last = first + max(1, int(np.searchsorted(np.cumsum(n[order[first:]]), 400_000)))
+        last = first + max(1, int(np.searchsorted(np.cumsum(n[order[first:]]), 200_000)))
         group = order[first:last]
         at, doc = _positions(n[group])
-        words = np.empty(len(at), np.int64)
-        words[at] = np.concatenate([rows[i] for i in group])
-        post = posteriors(table[words], n[group], model.transitions)[at]
+        held = np.empty(len(at), np.int64)
+        held[at] = np.concatenate([rows[i] for i in group])
+        post = posteriors(table[held], n[group], model.transitions)[at]
         mass = np.stack([np.bincount(doc, post[:, j], len(group)) for j in range(post.shape[1])], axis=1)
         mass /= n[group][:, None]
         best[group] = mass.argmax(axis=1)
@@ -262,9 +279,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(shared.value)
         for whole in batches:
-            for batch in batches_of(whole, "text", 8 << 20):
-                lang, score = predict(shared.value, batch.column("text").to_pylist())
+            for batch in batches_of(whole, "text", 3 << 20):
+                lang, score = predict(shared.value, batch.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                     ["doc_id", "held_out", "lang_pred", "score"],
@@ -283,9 +301,10 @@ def reject_unknown(docs: DataFrame, model: Model, least: float = 0.3) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(shared.value)
         for whole in batches:
-            for batch in batches_of(whole, "text", 8 << 20):
-                lang, score = predict(shared.value, batch.column("text").to_pylist())
+            for batch in batches_of(whole, "text", 3 << 20):
+                lang, score = predict(shared.value, batch.column("text").to_pylist(), words)
                 yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -25,7 +25,6 @@ from swipeline.llm.common import batches_of, stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int"
 PLACES = "class int, first long, last long, sequence long, each long, place int"
-_CACHE: dict[tuple, dict[bytes, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
 #: Latin letters that stay one letter when lower-cased, then ASCII marks without the apostrophe.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{0,80})([!-&(-/:;=?@\[-`{}~]{0,80})")
@@ -36,11 +35,11 @@ class WordIds:
 
     The vocabulary drops white space before anything else, so a text's ids are those of its words one
     after the other. Most words are Latin letters, then ASCII marks; such a word is encoded by these
-    two parts, each of which the vocabulary ends with an id of its own kind. ``room`` bounds what a
-    worker remembers.
+    two parts, each of which the vocabulary ends with an id of its own kind. Beyond ``room``
+    words a task forgets them and starts anew.
     """
 
-    def __init__(self, path: str, room: int = 400_000):
+    def __init__(self, path: str, room: int = 300_000):
         from tokenizers import Tokenizer
 
         if path not in _TOKENIZERS:
@@ -50,8 +49,8 @@ class WordIds:
             _TOKENIZERS[path] = tokenizer, last
         self.tokenizer, self.last = _TOKENIZERS[path]
         self.room = room
-        self.known = _CACHE.setdefault((path, room, "words"), {})
-        self.parts = _CACHE.setdefault((path, room, "parts"), {})
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -98,7 +97,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int, step: int, wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
         for whole in batches:
-            for batch in batches_of(whole, "text", 4 << 20):
+            for batch in batches_of(whole, "text", 2 << 20):
                 rows: list[list] = [[] for _ in names]
                 encoded = words.encode(batch.column("text").to_pylist())
                 for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
@@ -266,6 +265,7 @@ def pack(
         .join(F.broadcast(starts), ["class", "slice"])
         .withColumn("rank", F.col("rank") + F.col("base"))
     )
+    # The starts have at most classes x slices rows, about 130,000 whatever the input.
     # The plan has at most a few rows per class; its size depends on the window, not on the data.
     placed = ranked.join(
         F.broadcast(steps.withColumnRenamed("class", "c")),

@@ -77,8 +77,8 @@ class Automaton:
 
 
 @lru_cache(maxsize=2)
-def automaton_of(model: str) -> tuple[Automaton, dict[str, int]]:
-    """The automaton over the pieces of a sentence-piece model, and a store of counts of words.
+def automaton_of(model: str) -> Automaton:
+    """The automaton over the pieces of a sentence-piece model.
 
     Pieces with the mark of a word's start start a word, the others continue it; control, unknown
     and byte pieces are left out.
@@ -92,14 +92,11 @@ def automaton_of(model: str) -> tuple[Automaton, dict[str, int]]:
         if not (held.is_control(i) or held.is_unknown(i) or held.is_byte(i))
     ]
     mark = "▁"
-    return Automaton(
-        [p[1:] for p in pieces if p.startswith(mark)], [p for p in pieces if mark not in p]
-    ), {}
+    return Automaton([p[1:] for p in pieces if p.startswith(mark)], [p for p in pieces if mark not in p])
 
 
-def counts(texts: list[str | None], model: str, room: int = 400_000) -> list[tuple[int, int]]:
-    """(words, pieces) of whole texts."""
-    automaton, known = automaton_of(model)
+def counts(texts: list[str | None], automaton: Automaton, known: dict[str, int], room: int = 200_000) -> list[tuple[int, int]]:
+    """(words, pieces) of whole texts; ``known`` keeps counts of words, beyond ``room`` it starts anew."""
     split = [(t or "").split() for t in texts]
     if len(known) > room:
         known.clear()
@@ -118,9 +115,10 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, known = automaton_of(model), {}
         for whole in batches:
-            for batch in batches_of(whole, "text", 4 << 20):
-                found = np.array(counts(batch.column("text").to_pylist(), model), np.int64).reshape(-1, 2)
+            for batch in batches_of(whole, "text", 2 << 20):
+                found = np.array(counts(batch.column("text").to_pylist(), automaton, known), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(found[:, 0]), pa.array(found[:, 1])],
                     ["doc_id", "n_words", "n_tokens"],
