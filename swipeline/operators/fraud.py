@@ -213,7 +213,7 @@ def _ordinary(df: DataFrame, config: FraudConfig) -> DataFrame:
     in_order = card.orderBy("_second", "timestamp", "transaction_id")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     second, country, number = F.col("_second"), F.col("country_code"), F.col("transaction_id")
-    located = country.isNotNull()
+    located = country.isNotNull() & number.isNotNull()
     return (
         df.withColumns(
             {
@@ -242,13 +242,16 @@ def _ordinary(df: DataFrame, config: FraudConfig) -> DataFrame:
 def _busy(df: DataFrame, config: FraudConfig) -> DataFrame:
     # Keys are structs so that an absent card or time is a key of its own, as in a window.
     moments = df.withColumn("_moment", F.struct("card_hash", "_second"))
-    located_id = F.when(F.col("country_code").isNotNull(), F.col("transaction_id"))
+    # Two transactions are told apart by their ids: one without an id, or a country, is no partner.
+    located = F.col("country_code").isNotNull() & F.col("transaction_id").isNotNull()
+    located_id = F.when(located, F.col("transaction_id"))
+    located_country = F.when(located, F.col("country_code"))
     seconds = moments.groupBy("_moment").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count("amount").alias("_amounts"),
         F.sum("amount").alias("_total"),
-        F.min("country_code").alias("_first_country"),
-        F.max("country_code").alias("_last_country"),
+        F.min(located_country).alias("_first_country"),
+        F.max(located_country).alias("_last_country"),
         F.min(located_id).alias("_first_id"),
         F.max(located_id).alias("_last_id"),
     )

@@ -36,13 +36,22 @@ def merchant_volume(df: DataFrame, width: str = "5 minutes", delay: str = "10 mi
     )
 
 
+def _seconds(duration: str) -> int:
+    """Seconds of a duration such as ``1 hour 30 minutes``."""
+    size = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    words = duration.split()
+    return sum(int(n) * size[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2], strict=True))
+
+
 def issuer_cross_border_ratio(
     df: DataFrame, width: str = "1 hour", slide: str = "15 minutes", delay: str = "15 minutes"
 ) -> DataFrame:
     """Cross-border share of all transactions per issuer and sliding window.
 
-    ``width`` must be a multiple of ``slide``: transactions are first summed per slide.
+    ``width`` must be a multiple of ``slide``, else a ValueError: transactions are first summed per slide.
     """
+    if _seconds(width) % _seconds(slide):
+        raise ValueError(f"a width of {width} is not a multiple of a slide of {slide}")
     panes = (
         df.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", slide).alias("_pane"), "issuer_id")

@@ -60,9 +60,10 @@ REPORTS: dict[str, Callable[..., dict[str, DataFrame]]] = {
 def run_job(spark: SparkSession, name: str, date: str, zones: Zones, **params) -> dict[str, dict[str, int]]:
     """Compute the reports of one job and write them to their date partition.
 
-    Returns the observed row counts per output table, with ``flagged`` where a report has flags.
+    Returns the observed row counts per output table, with ``flagged`` where a report has flags. A
+    date that has not landed is an error and leaves what is stored alone.
     """
-    txns = read_landing(spark, zones, date=date)
+    txns = read_landing(spark, zones, date=date, required=True)
     counts = {}
     for dataset, report in REPORTS[name](spark, txns, zones, date, params).items():
         metrics = [F.count(F.lit(1)).alias("rows")]
@@ -77,7 +78,7 @@ def run_job(spark: SparkSession, name: str, date: str, zones: Zones, **params) -
 
 def run_processed(spark: SparkSession, date: str, zones: Zones) -> None:
     """Landing to the processed zone for one date."""
-    write_processed(read_landing(spark, zones, date=date).drop("date", "hour"), zones)
+    write_processed(read_landing(spark, zones, date=date, required=True).drop("date", "hour"), zones)
 
 
 def run_quality(
@@ -116,7 +117,7 @@ def _one_by_one(spark: SparkSession, checks: dict[str, DataFrame]) -> DataFrame:
         try:
             rows.append(check.first())
         except Exception as error:
-            rows.append((name, quality.FAIL, f"Check raised an exception: {error}", None, None, {}))
+            rows.append((name, quality.FAIL, f"The check failed: {error}", None, None, {}))
     return spark.createDataFrame(rows, optional(schema))
 
 

@@ -175,21 +175,21 @@ r AS ({_ranges("gappy")}), o AS ({_orphans("gappy")}), d AS ({_DUPLICATES} gappy
 n AS (SELECT count(*) - count(amount) AS amounts, count(*) - count(merchant_id) AS merchants FROM gappy),
 f AS (SELECT epoch(TIMESTAMP '2024-02-01' - max("timestamp")) / 3600 AS age FROM gappy),
 checks AS (
-  SELECT 'schema_validation' AS check_name, false AS failed, 'All expected columns present' AS message,
+  SELECT 'schema_validation' AS check_name, false AS failed, 'Every column is there' AS message,
     CAST(NULL AS DOUBLE) AS metric_value, CAST(NULL AS DOUBLE) AS threshold
   UNION ALL SELECT 'null_check', amounts + merchants > 0,
-    'NULL values in critical columns: ' || concat_ws(', ',
+    'Required values absent, ' || concat_ws(', ',
       CASE WHEN amounts > 0 THEN 'amount: ' || amounts END,
       CASE WHEN merchants > 0 THEN 'merchant_id: ' || merchants END), NULL, NULL FROM n
-  UNION ALL SELECT 'referential_integrity', orphan_count > 0, orphan_count || ' records have unknown merchant_id',
+  UNION ALL SELECT 'referential_integrity', orphan_count > 0, orphan_count || ' rows without a match of merchant_id',
     round(orphan_count / total_count, 6), NULL FROM o
   UNION ALL SELECT 'amount_range', true, (purchase_violations + refund_violations + chargeback_violations
-    + p2p_violations) || ' records violate amount range rules', NULL, NULL FROM r
-  UNION ALL SELECT 'duplicate_check', duplicate_count > 0, duplicate_count || ' duplicate transaction_id(s) detected',
+    + p2p_violations) || ' amounts out of bounds', NULL, NULL FROM r
+  UNION ALL SELECT 'duplicate_check', duplicate_count > 0, duplicate_count || ' surplus rows of an id',
     duplicate_count, NULL FROM d
-  UNION ALL SELECT 'freshness_check', age > 2, 'Most recent record is ' || printf('%.1f', age)
-    || 'h old (threshold: 2.0h)', round(age, 6), 2.0 FROM f
-  UNION ALL SELECT 'transaction_type_check', false, 'All transaction_type values are valid', NULL, NULL
+  UNION ALL SELECT 'freshness_check', age > 2, 'Newest row: ' || printf('%.1f', age)
+    || ' h ago, limit 2.0 h', round(age, 6), 2.0 FROM f
+  UNION ALL SELECT 'transaction_type_check', false, 'Every type is known', NULL, NULL
 )
 SELECT check_name, CASE WHEN failed THEN 'FAIL' ELSE 'PASS' END AS status, message, metric_value, threshold,
   NOT failed AS passed, '2024-01-15' AS processing_date FROM checks"""

@@ -21,11 +21,13 @@ def read_landing(
     date: str | None = None,
     hour: int | None = None,
     schema: StructType = TRANSACTION,
+    required: bool = False,
 ) -> DataFrame:
     """Landing records with ``date`` and ``hour`` columns, typed by ``schema``.
 
     A date, or a date and an hour, are resolved to their folder, so only that folder is listed
-    and read however long the history is. A date without files gives no rows.
+    and read however long the history is. A date without files gives no rows, or an
+    error if it is ``required``.
     """
     if hour is not None and date is None:
         raise ValueError("an hour needs a date")
@@ -39,7 +41,7 @@ def read_landing(
     try:
         return spark.read.schema(full).option("basePath", root).json(path)
     except AnalysisException as error:
-        if date is None or error.getCondition() != "PATH_NOT_FOUND":
+        if required or date is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], optional(full))
 
@@ -77,11 +79,14 @@ def encode_json(df: DataFrame) -> Column:
 
 
 def parse_json(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION) -> DataFrame:
-    """Parse a JSON column (text or bytes) to flat columns; ``_corrupt_record`` keeps what failed."""
+    """Parse a JSON column (text or bytes) to flat columns; ``_corrupt_record`` keeps what failed.
+
+    A record without a value (a tombstone of a topic) is no transaction and is left out.
+    """
     # Parsed fields are nullable whatever the source promises: a record may lack any of them.
     loose = optional(schema).add(CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.select(F.from_json(F.col(value).cast("string"), loose, options).alias("_data")).select("_data.*")
+    return df.where(F.col(value).isNotNull()).select(F.from_json(F.col(value).cast("string"), loose, options).alias("_data")).select("_data.*")
 
 
 def parsed(df: DataFrame) -> tuple[DataFrame, DataFrame]:

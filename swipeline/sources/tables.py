@@ -88,11 +88,17 @@ def write_processed(df: DataFrame, zones: Zones, dataset: str = "transactions")
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
-    """One row per ``transaction_id``, chosen by event time and then the other columns."""
-    first = ["timestamp", *[c for c in df.columns if c not in ("timestamp", "transaction_id")]]
-    return (
-        df.groupBy("transaction_id")
+    """One row per ``transaction_id``, chosen by event time and then the other columns.
+
+    A row without a time never wins against one that has it. Rows without an id are all kept: nothing
+    says that two of them are one transaction.
+    """
+    first = [F.col("timestamp").isNull(), "timestamp", *[c for c in df.columns if c not in ("timestamp", "transaction_id")]]
+    known = df.where("transaction_id is not null")
+    unique = (
+        known.groupBy("transaction_id")
         .agg(F.min(F.struct(*first)).alias("_row"))
         .select("transaction_id", "_row.*")
         .select(*df.columns)
     )
+    return unique.union(df.where("transaction_id is null"))

@@ -34,7 +34,8 @@ def card_alerts(df: DataFrame, config: FraudConfig = FraudConfig(), delay: str =
 
     Needs the RocksDB state store of the streaming profile.
     """
-    located = F.when(F.col("country_code").isNotNull(), F.col("transaction_id"))
+    both = F.col("country_code").isNotNull() & F.col("transaction_id").isNotNull()
+    located, country = F.when(both, F.col("transaction_id")), F.when(both, F.col("country_code"))
     seconds = (
         df.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", "1 second"), "card_hash")
@@ -43,8 +44,8 @@ def card_alerts(df: DataFrame, config: FraudConfig = FraudConfig(), delay: str =
             F.count("amount").alias("amounts"),
             F.coalesce(F.sum("amount") * 100, F.lit(0)).cast("long").alias("cents"),
             F.max("amount").cast("double").alias("largest"),
-            F.min("country_code").alias("first_country"),
-            F.max("country_code").alias("last_country"),
+            F.min(country).alias("first_country"),
+            F.max(country).alias("last_country"),
             F.min(located).alias("first_id"),
             F.max(located).alias("last_id"),
         )

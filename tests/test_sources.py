@@ -166,3 +166,21 @@ def test_card_token(spark):
 
 def test_schema_is_shared_and_unchanged():
     assert len(TRANSACTION.fields) == 16 and len(optional(TRANSACTION).fields) == 16
+
+
+def test_deduplicate_keeps_rows_without_id_and_prefers_a_time(spark, txns):
+    df = txns({"transaction_id": None}, {"transaction_id": None}, {"transaction_id": "a", "timestamp": None}, {"transaction_id": "a"})
+    rows = deduplicate(df).collect()
+    assert sorted(str(r["transaction_id"]) for r in rows) == ["None", "None", "a"]
+    assert all(r["timestamp"] is not None for r in rows)
+
+
+def test_a_message_without_value_is_no_transaction(spark):
+    assert parse_json(spark.createDataFrame([(None,)], "value string")).count() == 0
+
+
+def test_a_required_date_must_have_landed(spark, scratch):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        read_landing(spark, Zones.under(scratch), date="2031-01-01", required=True)
