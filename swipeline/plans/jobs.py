@@ -14,16 +14,17 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from swipeline.operators import quality, reports
+from swipeline.operators import quality, reports, validation
 from swipeline.schemas import optional
-from swipeline.session import open_session
-from swipeline.sources.landing import read_landing
+from swipeline.session import ObjectStore, open_session
+from swipeline.sources.landing import parsed, read_landing, read_landing_lines
 from swipeline.sources.tables import read_dimension, read_table, write_date, write_processed
 from swipeline.sources.zones import Zones
 
 log = logging.getLogger(__name__)
 
 RESULTS = "data_quality_results"
+CORRUPT_LINES, BROKEN_ROWS = "corrupt_lines", "quarantined_transactions"
 
 
 def _settlement(spark, txns, zones, date, params):
@@ -77,8 +78,16 @@ def run_job(spark: SparkSession, name: str, date: str, zones: Zones, **params) -
 
 
 def run_processed(spark: SparkSession, date: str, zones: Zones) -> None:
-    """Landing to the processed zone for one date."""
-    write_processed(read_landing(spark, zones, date=date, required=True).drop("date", "hour"), zones)
+    """Landing to the processed zone for one date.
+
+    Lines that do not parse and rows that break a rule are stored in the quality zone instead, the
+    former as they came, the latter with the names of the rules.
+    """
+    good, corrupt = parsed(read_landing_lines(spark, zones, date=date, required=True))
+    valid, broken = validation.split(validation.validate(good.drop("date", "hour")))
+    write_date(corrupt.drop("date"), zones, "quality", CORRUPT_LINES, date)
+    write_date(broken, zones, "quality", BROKEN_ROWS, date)
+    write_processed(valid, zones)
 
 
 def run_quality(
@@ -138,10 +147,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--date", required=True, help="processing date, YYYY-MM-DD")
     parser.add_argument("--threshold", type=float, default=0.02, help="chargeback ratio that flags a merchant")
     parser.add_argument("--max-age-hours", type=float, default=2.0, help="age at which data is stale")
-    parser.add_argument("--shuffle-partitions", type=int, default=64)
+    parser.add_argument("--shuffle-partitions", type=int, help="default: the cluster's setting")
     args = parser.parse_args(argv)
     logging.basicConfig(level=os.environ.get("LOG_LEVEL", "INFO"))
-    spark = open_session(f"swipeline-{args.job}", shuffle_partitions=args.shuffle_partitions)
+    store = ObjectStore.from_env(os.environ)
+    spark = open_session(f"swipeline-{args.job}", shuffle_partitions=args.shuffle_partitions, store=store)
     zones = Zones.from_env(os.environ)
     if args.job == "gate":
         return 0 if gate_passed(spark, args.date, zones) else 1

@@ -8,8 +8,6 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DecimalType,
-    DoubleType,
-    MapType,
     StringType,
     StructField,
     StructType,
@@ -69,16 +67,6 @@ DIMENSIONS = {
     "country_codes": _schema(**_texts("country_code", "country_name", "region", "currency_code")),
 }
 
-QUALITY_RESULT = _schema(
-    **_texts("check_name", "status", "message"),
-    metric_value=DoubleType(),
-    threshold=DoubleType(),
-    extra=MapType(TEXT, TEXT),
-    run_timestamp=TimestampType(),
-    passed=FLAG,
-    processing_date=TEXT,
-)
-
 # The domain of the card network, stated as data.
 TRANSACTION_TYPES = ("purchase", "refund", "chargeback", "p2p")
 SPEND_TYPES = ("purchase", "p2p")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructType
 
 from swipeline.schemas import TRANSACTION, optional
 from swipeline.sources.zones import Zones
@@ -23,7 +25,27 @@ def read_landing(
     schema: StructType = TRANSACTION,
     required: bool = False,
 ) -> DataFrame:
-    """Landing records with ``date`` and ``hour`` columns, typed by ``schema``.
+    """Landing transactions with ``date`` and ``hour`` columns, typed by ``schema``.
+
+    Lines that do not parse are no transactions; :func:`read_landing_lines` has them. Dates and
+    hours are as there.
+    """
+    return parsed(read_landing_lines(spark, zones, dataset, date, hour, schema, required))[0]
+
+
+def read_landing_lines(
+    spark: SparkSession,
+    zones: Zones,
+    dataset: str = "transactions",
+    date: str | None = None,
+    hour: int | None = None,
+    schema: StructType = TRANSACTION,
+    required: bool = False,
+) -> DataFrame:
+    """Every landing line: its fields, ``date``, ``hour``, and ``_corrupt_record`` where it has a fault.
+
+    A line is corrupt if it is no JSON object or a field is not of its type, whichever columns a
+    query reads. Blank lines are left out.
 
     A date, or a date and an hour, are resolved to their folder, so only that folder is listed
     and read however long the history is. A date without files gives no rows, or an
@@ -37,13 +59,18 @@ def read_landing(
         path += f"/date={date}"
     if hour is not None:
         path += f"/hour={hour:02d}"
-    full = StructType([*schema.fields, StructField("date", DateType()), StructField("hour", IntegerType())])
+    lines = StructType().add("value", StringType()).add("date", DateType()).add("hour", IntegerType())
     try:
-        return spark.read.schema(full).option("basePath", root).json(path)
+        text = spark.read.schema(lines).option("basePath", root).text(path)
+        return parse_json(text.where(not_blank()), schema=schema, keep=("date", "hour"))
     except AnalysisException as error:
         if required or date is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], optional(full))
+        return spark.createDataFrame([], optional(schema).add(CORRUPT, StringType()).add("date", DateType()).add("hour", IntegerType()))
+
+
+def not_blank(line: str = "value") -> Column:
+    return F.trim(line) != ""
 
 
 def write_landing(df: DataFrame, zones: Zones, dataset: str = "transactions", mode: str = "append") -> None:
@@ -78,18 +105,21 @@ def encode_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[_as_text(name) for name in df.columns]))
 
 
-def parse_json(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION) -> DataFrame:
+def parse_json(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION, keep: Sequence[str] = ()) -> DataFrame:
     """Parse a JSON column (text or bytes) to flat columns; ``_corrupt_record`` keeps what failed.
 
-    A record without a value (a tombstone of a topic) is no transaction and is left out.
+    A record without a value (a tombstone of a topic) is no transaction and is left out. Columns of
+    ``keep`` stay beside the fields.
     """
     # Parsed fields are nullable whatever the source promises: a record may lack any of them.
     loose = optional(schema).add(CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.where(F.col(value).isNotNull()).select(F.from_json(F.col(value).cast("string"), loose, options).alias("_data")).select("_data.*")
+    record = F.from_json(F.col(value).cast("string"), loose, options)
+    # A generator is a border for filters: without it a filter on a field would parse every text again.
+    return df.where(F.col(value).isNotNull()).select(F.inline(F.array(record)), *keep)
 
 
 def parsed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split parsed records into good ones and corrupt texts."""
+    """Split parsed records into good ones and corrupt texts, the latter with their landing hour."""
     bad = F.col(CORRUPT).isNotNull()
-    return df.where(~bad).drop(CORRUPT), df.where(bad).select(CORRUPT)
+    return df.where(~bad).drop(CORRUPT), df.where(bad).select(CORRUPT, *[c for c in ("date", "hour") if c in df.columns])

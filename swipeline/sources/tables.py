@@ -20,19 +20,26 @@ _OPERATORS = {
     "<=": lambda c, v: c <= v,
     ">": lambda c, v: c > v,
     ">=": lambda c, v: c >= v,
+    "in": lambda c, v: c.isin(list(v)),
+    "not in": lambda c, v: ~c.isin(list(v)),
+    "like": lambda c, v: c.like(v),
+    "is null": lambda c, v: c.isNull() if v else c.isNotNull(),
 }
 
 Filter = tuple[str, str, Any]
 
 
 def condition(filters: Iterable[Filter]) -> Column:
-    """AND of ``(column, operator, value)`` triples. Values are literals, never SQL text."""
+    """AND of ``(column, operator, value)`` triples. Values are literals, never SQL text.
+
+    ``in`` and ``not in`` take a list; ``is null`` takes True, or False for its opposite.
+    """
 
     def clause(item: Filter) -> Column:
         column, operator, value = item
         if operator not in _OPERATORS:
             raise ValueError(f"unsupported operator {operator!r}, expected one of {sorted(_OPERATORS)}")
-        return _OPERATORS[operator](F.col(column), F.lit(value))
+        return _OPERATORS[operator](F.col(column), value)
 
     return reduce(lambda a, b: a & b, map(clause, filters), F.lit(True))
 

@@ -48,12 +48,15 @@ class Zones:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the session's ``spark.checkpoint.dir``, which a cluster shares.
 
-    Where the setting is absent (tests, a laptop) the session gets a temporary folder of its own.
+    Where the setting is absent a local session gets a temporary folder of its own; on a cluster,
+    whose executors would not share it, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("swipeline.scratch.dir", None)
         if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
             root = tempfile.mkdtemp(prefix="swipeline-")
             spark.conf.set("swipeline.scratch.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import os
 from dataclasses import dataclass, field
 
@@ -10,13 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from swipeline.operators.fraud import FraudConfig
 from swipeline.operators.time_windows import card_daily_totals, issuer_cross_border_ratio, merchant_volume
-from swipeline.session import open_session
+from swipeline.session import ObjectStore, open_session
 from swipeline.sources import kafka
 from swipeline.sources.landing import parsed
 from swipeline.sources.zones import Zones
-from swipeline.streaming.sinks import append_table, running_totals, score_batches
-from swipeline.streaming.sources import landing_stream
+from swipeline.streaming.sinks import append_table, land, running_totals, score_batches
+from swipeline.streaming.sources import landing_lines
+from swipeline.streaming.state import card_alerts
 
+QUARANTINE, ALERTS = "corrupt_stream_records", "card_alerts"
 FRAUD, MERCHANTS, ISSUERS, CARDS = "fraud_flags", "merchant_volume", "issuer_xborder", "card_daily_totals"
 
 
@@ -66,15 +69,40 @@ def ended(queries: dict[str, StreamingQuery]) -> list[str]:
     return names
 
 
-def main() -> None:
+def start_quarantine(corrupt: DataFrame, zones: Zones, trigger: dict) -> StreamingQuery:
+    """Store the texts that did not parse; none is dropped unseen."""
+    place = zones.path("quality", QUARANTINE)
+    return append_table(corrupt, place, zones.path("checkpoints", QUARANTINE), trigger, QUARANTINE)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: the analytics queries, landing a topic, or the alerts that see across batches."""
+    parser = argparse.ArgumentParser(description="Run streaming queries")
+    parser.add_argument("job", nargs="?", default="analytics", choices=["analytics", "land", "alerts"])
+    parser.add_argument("--shuffle-partitions", type=int, help="fixed for a checkpoint by its first run")
+    args = parser.parse_args(argv)
     env = os.environ
-    spark, zones = open_session("swipeline-streaming", "streaming"), Zones.from_env(env)
+    spark = open_session(
+        f"swipeline-{args.job}", "streaming", shuffle_partitions=args.shuffle_partitions, store=ObjectStore.from_env(env)
+    )
+    zones, config = Zones.from_env(env), FraudConfig.from_env(env)
     servers = env.get("KAFKA_BOOTSTRAP_SERVERS")
     if servers:
-        topic = env.get("KAFKA_TOPIC_TRANSACTIONS", "payment.transactions.raw")
-        source, _ = parsed(kafka.read_stream(spark, servers, topic))
+        records = kafka.read_stream(spark, servers, env.get("KAFKA_TOPIC_TRANSACTIONS", "payment.transactions.raw"))
+    elif args.job == "land":
+        parser.error("land needs KAFKA_BOOTSTRAP_SERVERS")
+    else:
+        records = landing_lines(spark, zones)
+    source, corrupt = parsed(records)
+    pace = {"processingTime": f"{env.get('STREAMING_TRIGGER_SECONDS', '30')} seconds"}
+    if args.job == "land":
+        running = {"land": land(source, zones.path("landing", "transactions"), zones.path("checkpoints", "land"), pace, "land")}
+    elif args.job == "alerts":
+        places = zones.path("analytics", ALERTS), zones.path("checkpoints", ALERTS)
+        running = {ALERTS: append_table(card_alerts(source, config), *places, pace, ALERTS)}
     else:
-        source = landing_stream(spark, zones)
-    seconds = env.get("STREAMING_TRIGGER_SECONDS", "30")
-    triggers = Triggers(fraud={"processingTime": f"{seconds} seconds"})
-    wait(spark, start(source, zones, FraudConfig.from_env(env), triggers))
+        running = start(source, zones, config, Triggers(fraud=pace))
+    # One job of those on a source keeps its corrupt texts: with a topic the one that lands it.
+    if args.job == ("land" if servers else "analytics"):
+        running[QUARANTINE] = start_quarantine(corrupt, zones, pace)
+    wait(spark, running)

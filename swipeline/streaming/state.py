@@ -64,13 +64,23 @@ def card_alerts(df: DataFrame, config: FraudConfig = FraudConfig(), delay: str =
     )
 
 
-def _conflict(part: pd.DataFrame) -> bool:
-    placed = part.dropna(subset=["first_country"])
-    return bool(
-        len(placed)
-        and placed.first_country.min() != placed.last_country.max()
-        and placed.first_id.min() != placed.last_id.max()
-    )
+def _last_change(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Per second the latest start from which up to here two values occur; -1 where only one does.
+
+    ``first`` and ``last`` are the least and the greatest value of a second, None where it has none.
+    """
+    change = np.full(len(first), -1)
+    placed = np.flatnonzero([value is not None for value in first])
+    if len(placed):
+        least, most = first[placed], last[placed]
+        change[placed[1:]] = np.where(most[:-1] != least[1:], placed[:-1], -1)
+        mixed = placed[least != most]
+        change[mixed] = mixed
+    return np.maximum.accumulate(change) if len(change) else change
+
+
+def _texts(column: pd.Series) -> np.ndarray:
+    return column.astype(object).where(column.notna(), None).to_numpy(object)
 
 
 class _CardHistory(StatefulProcessor):
@@ -101,12 +111,10 @@ class _CardHistory(StatefulProcessor):
         here = np.arange(known, len(seen))
         start = np.searchsorted(second, second[here] - config.velocity_window_seconds)
         velocity = running[here + 1] - running[start]
-        if hit or not _conflict(seen):
-            geo = np.full(len(here), hit)
-        else:
-            nearby = np.searchsorted(second, second[here] - config.geo_window_seconds)
-            hits = [_conflict(seen.iloc[a : b + 1]) for a, b in zip(nearby, here)]
-            geo = np.logical_or.accumulate(hits)
+        nearby = np.searchsorted(second, second[here] - config.geo_window_seconds)
+        countries = _last_change(_texts(seen.first_country), _texts(seen.last_country))[here]
+        ids = _last_change(_texts(seen.first_id), _texts(seen.last_id))[here]
+        geo = np.logical_or.accumulate((countries >= nearby) & (ids >= nearby)) | hit
 
         def before(carried: int, column: str) -> np.ndarray:
             values = arrived[column].to_numpy("int64")

@@ -7,8 +7,8 @@ import pytest
 
 from conftest import T0
 from swipeline.plans import jobs
-from swipeline.session import ObjectStore, profile
-from swipeline.sources.landing import write_landing
+from swipeline.session import ObjectStore, open_session, profile
+from swipeline.sources.landing import read_landing, write_landing
 from swipeline.sources.tables import read_table
 from swipeline.sources.zones import Zones
 
@@ -94,6 +94,27 @@ def test_processed_job(spark, zones):
     assert read_table(spark, zones, "processed", "transactions").count() == 2
 
 
+def test_processed_job_keeps_what_it_rejects(spark, zones):
+    folder = f"{zones.landing}/transactions/date={DAY}/hour=11"
+    bad_amount = '{"transaction_id":"x","amount":"abc"}'
+    no_amount = '{"transaction_id":"y","amount":null}'
+    spark.createDataFrame([("{oops",), (bad_amount,), ("",), (no_amount,)], "value string").write.text(folder)
+    before = read_landing(spark, zones, date=DAY)
+    assert before.count() == before.select("amount").count()
+    jobs.run_processed(spark, DAY, zones)
+    assert read_table(spark, zones, "processed", "transactions").count() == 2
+    corrupt = read_table(spark, zones, "quality", jobs.CORRUPT_LINES).collect()
+    assert sorted((r._corrupt_record, r.hour) for r in corrupt) == sorted([("{oops", 11), (bad_amount, 11)])
+    (broken,) = read_table(spark, zones, "quality", jobs.BROKEN_ROWS).collect()
+    assert broken.transaction_id == "y" and "required_field" in broken.failed_rules
+
+
+def test_a_session_keeps_what_was_submitted(spark):
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")}
+    assert open_session(mode="streaming") is not None
+    assert {key: spark.conf.get(key) for key in before} == before
+
+
 def test_command_line(spark, zones, monkeypatch):
     for zone in ("landing", "processed", "analytics", "seeds"):
         monkeypatch.setenv(f"{zone.upper()}_ZONE_PATH" if zone != "seeds" else "SEEDS_PATH", getattr(zones, zone))
@@ -110,11 +131,14 @@ def test_command_line(spark, zones, monkeypatch):
 
 
 def test_profiles():
-    assert profile("streaming")["spark.sql.streaming.metricsEnabled"] == "true"
-    assert "spark.sql.streaming.metricsEnabled" not in profile("batch")
+    store_key = "spark.sql.streaming.stateStore.providerClass"
+    assert store_key in profile("streaming") and store_key not in profile("batch")
+    assert "spark.sql.shuffle.partitions" not in profile()
     assert profile(extra={"spark.sql.shuffle.partitions": "7"})["spark.sql.shuffle.partitions"] == "7"
     assert profile(shuffle_partitions=20000)["spark.sql.shuffle.partitions"] == "20000"
-    store = profile(store=ObjectStore("http://store", "a", "b"))
+    assert ObjectStore.from_env({}) is None
+    env = {"S3_ENDPOINT": "http://store", "S3_ACCESS_KEY": "a", "S3_SECRET_KEY": "b"}
+    store = ObjectStore.from_env(env).options()
     assert store["spark.hadoop.fs.s3a.endpoint"] == "http://store"
     with pytest.raises(ValueError):
         profile("other")

@@ -99,6 +99,16 @@ def test_filters(spark, zones):
     keep = read_table(spark, zones, "analytics", "t", [("n", ">=", 1), ("s", "=", "a'b")])
     assert [r.n for r in keep.collect()] == [1]
     assert read_table(spark, zones, "analytics", "t").count() == 3
+    more = spark.createDataFrame([(1, "a'b"), (2, "c"), (3, None)], "n int, s string")
+    write_table(more, zones, "analytics", "u")
+    for item, want in (
+        (("n", "in", [1, 3]), [1, 3]),
+        (("n", "not in", [1, 3]), [2]),
+        (("s", "like", "a%"), [1]),
+        (("s", "is null", True), [3]),
+        (("s", "is null", False), [1, 2]),
+    ):
+        assert sorted(r.n for r in read_table(spark, zones, "analytics", "u", [item]).collect()) == want
     with pytest.raises(ValueError):
         read_table(spark, zones, "analytics", "t", [("n", "; DROP", 1)])
 

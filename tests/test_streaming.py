@@ -4,6 +4,7 @@ import os
 import random
 from datetime import timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from conftest import T0
 from swipeline.operators.fraud import FraudConfig, apply_all_fraud_rules, flag_amount_anomaly, flag_velocity
 from swipeline.operators.time_windows import card_daily_totals, issuer_cross_border_ratio, merchant_volume
 from swipeline.schemas import TRANSACTION, optional
-from swipeline.sources.landing import for_landing, read_landing, write_landing
+from swipeline.sources.landing import for_landing, parsed, read_landing, write_landing
 from swipeline.sources.zones import Zones
 from swipeline.streaming import app
 from swipeline.streaming.sinks import (
@@ -23,8 +24,8 @@ from swipeline.streaming.sinks import (
     running_totals,
     score_batches,
 )
-from swipeline.streaming.sources import landing_stream, table_stream
-from swipeline.streaming.state import card_alerts
+from swipeline.streaming.sources import landing_lines, landing_stream, table_stream
+from swipeline.streaming.state import _last_change, card_alerts
 
 
 def rows_of(df):
@@ -159,6 +160,28 @@ def test_application_runs_all_queries(spark, txns, scratch):
         assert spark.read.parquet(zones.path("analytics", name)).count() > 0
 
 
+def test_corrupt_landing_lines_are_stored(spark, txns, scratch):
+    zones = Zones.under(scratch)
+    write_landing(txns({}, {}), zones)
+    spark.createDataFrame([("{oops",)], "value string").write.text(f"{zones.landing}/transactions/date=2024-01-15/hour=09")
+    source, corrupt = parsed(landing_lines(spark, zones))
+    app.start_quarantine(corrupt, zones, ONCE).awaitTermination()
+    append_table(source, f"{scratch}/out", f"{scratch}/cp", ONCE).awaitTermination()
+    assert [r[0] for r in spark.read.parquet(zones.path("quality", app.QUARANTINE)).select("_corrupt_record").collect()] == ["{oops"]
+    assert rows_of(spark.read.parquet(f"{scratch}/out")) == rows_of(txns({}, {}))
+
+
+def test_last_change_equals_looking_at_every_slice():
+    rng = random.Random(1)
+    for _ in range(200):
+        pairs = [sorted(rng.choices("ab", k=2)) if rng.random() < 0.3 else [rng.choice("ab")] * 2 for _ in range(7)]
+        pairs = [p if rng.random() < 0.8 else [None, None] for p in pairs]
+        got = _last_change(np.array([p[0] for p in pairs], object), np.array([p[1] for p in pairs], object))
+        for end in range(7):
+            varied = [a for a in range(end + 1) if len({v for p in pairs[a : end + 1] for v in p if v}) > 1]
+            assert got[end] == max(varied, default=-1)
+
+
 def test_a_failing_query_is_named(spark, txns, scratch):
     feed(txns, f"{scratch}/in", traffic(5), 1)
 
