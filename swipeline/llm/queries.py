@@ -67,7 +67,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = hosts.select("host", F.explode(F.array("host", F.regexp_replace("host", r"^[^.]*\.", ""))).alias("domain"))
     names = names.where(r"domain rlike '[.].*[.]'").select("domain").distinct()
     list_name = F.when(F.length("domain") % 2 == 0, "adult").otherwise("spam").alias("list_name")
-    start = (F.crc32(F.col("domain").cast("binary")) % 200).cast("int")
+    start = (F.ascii("domain") * 31 + F.length("domain") * 17) % 200
     day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n)
     dated = F.array(
         F.struct(day(start).alias("day"), F.lit("add").alias("action")),
@@ -111,4 +111,37 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_url_filters": r"""
+        WITH authorities AS (
+          SELECT page_id, DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS fetched,
+                 lower(regexp_extract(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*:', ''), '^//([^/?#\\]*)', 1)) AS a
+          FROM pages
+        ), captures AS (
+          SELECT page_id, fetched, nullif(regexp_replace(regexp_replace(
+                   regexp_replace(regexp_replace(a, '^.*@', ''), ':[0-9]*$', ''), '^www\.', ''), '\.+$', ''), '') AS host
+          FROM authorities
+        ), hosts AS (
+          SELECT DISTINCT host, string_split(host, '.') AS labels FROM captures WHERE host IS NOT NULL
+        ), names AS (
+          SELECT host AS domain FROM hosts UNION SELECT regexp_replace(host, '^[^.]*\.', '') FROM hosts
+        ), starts AS (
+          SELECT domain, CASE WHEN length(domain) % 2 = 0 THEN 'adult' ELSE 'spam' END AS list_name,
+                 DATE '2024-01-01' + CAST((ascii(domain) * 31 + length(domain) * 17) % 200 AS INTEGER) AS d
+          FROM names WHERE regexp_matches(domain, '[.].*[.]')
+        ), entries AS (
+          SELECT domain, list_name, d AS valid_from, d + 60 AS valid_to FROM starts
+          UNION ALL SELECT domain, list_name, d + 120, DATE '9999-12-31' FROM starts
+        ), levels AS (
+          SELECT host, array_to_string(list_slice(labels, i, len(labels)), '.') AS domain
+          FROM (SELECT host, labels, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) AS i FROM hosts)
+        ), active AS (
+          SELECT c.host, c.fetched, string_agg(DISTINCT list_name, ',' ORDER BY list_name) AS lists,
+                 max_by(e.domain, length(e.domain)) AS entry
+          FROM (SELECT DISTINCT host, fetched FROM captures) c JOIN levels l ON l.host = c.host
+          JOIN entries e ON e.domain = l.domain AND c.fetched >= valid_from AND c.fetched < valid_to
+          GROUP BY 1, 2
+        )
+        SELECT page_id, c.host, c.fetched, lists IS NOT NULL AS blocked, lists, entry
+        FROM captures c LEFT JOIN active a ON a.host = c.host AND a.fetched = c.fetched
+    """,
 }
