@@ -244,8 +244,12 @@ def repeated_strings(docs: DataFrame, length: int, gram: int, at_once: int, hot:
     # group: Spark splits a skewed join only where both sides come straight from their shuffles.
     often = stored(found.groupBy("key").agg(F.count("*").alias("of_key")).where("of_key > 1"), "often")
     known = stored(found.join(often, "key"), "anchors")
-    alike = known.groupBy("key", "whole", "n").agg(
-        F.count("*").alias("of_whole"), F.max("of_key").alias("of_key"), F.min(F.struct("doc", "crc", "lo")).alias("first")
+    # Stored for the same reason: one context may be that of a third of all runs.
+    alike = stored(
+        known.groupBy("key", "whole", "n").agg(
+            F.count("*").alias("of_whole"), F.max("of_key").alias("of_key"), F.min(F.struct("doc", "crc", "lo")).alias("first")
+        ),
+        "alike",
     )
     entire = known.join(alike.where("of_whole > 1").select("key", "whole", "n"), ["key", "whole", "n"], "left_semi").select(
         "doc", "crc", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")
