@@ -16,9 +16,10 @@ Cards are split in two sets, both computed exactly and put together again:
 
 Which cards are busy is counted when a rule is applied, as ``pivot`` does for its columns: one job
 that reads the card column only. The answer is a list of 64-bit hashes with at most rows /
-``busy_card_rows`` entries, 8 MB for 10^12 rows at the default, so it is safe on the driver and in a
-broadcast. Without busy cards the plan is the plain window plan. A hash collision only sends an
-ordinary card down the longer route.
+``busy_card_rows`` entries, 8 MB for 10^12 rows at the default, so it is safe on the driver. Its size
+is known to Spark, which broadcasts it below the session's threshold and shuffles above it. Without
+busy cards the plan is the plain window plan. A hash collision only sends an ordinary card down the
+longer route.
 """
 
 from __future__ import annotations
@@ -156,7 +157,7 @@ def _with_history(df: DataFrame, config: FraudConfig) -> DataFrame:
     if not busy:
         return _ordinary(timed, config)
     routed = timed.withColumn("_route", F.xxhash64("card_hash"))
-    listed = F.broadcast(df.sparkSession.createDataFrame([(b,) for b in busy], "_route long"))
+    listed = df.sparkSession.createDataFrame([(b,) for b in busy], "_route long")
     ordinary = routed.join(listed, "_route", "left_anti").drop("_route")
     gathered = routed.join(listed, "_route", "left_semi").drop("_route")
     return _ordinary(ordinary, config).unionByName(_busy(gathered, config))

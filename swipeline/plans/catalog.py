@@ -119,6 +119,32 @@ def multi_country_cards(spark, sf_dir):
     return fraud.multi_country_cards(card_stream(spark, sf_dir), TUNED.geo_window_minutes)
 
 
+def _with_absent(df):
+    """Ids, countries and times absent on some rows, by the number of the transaction."""
+    number = F.col("transaction_id").cast("long")
+    return df.withColumns(
+        {
+            "country_code": F.when(number % 5 != 1, F.col("country_code")),
+            "timestamp": F.when(number % 7 != 2, F.col("timestamp")),
+            "transaction_id": F.when(number % 3 != 0, F.col("transaction_id")),
+            "event": F.col("transaction_id"),
+        }
+    )
+
+
+@query
+def fraud_geo_gaps(spark, sf_dir):
+    """Rows without an id, a country or a time are nobody's partner, on either route."""
+    df = _with_absent(card_stream(spark, sf_dir))
+    routes = [
+        fraud.flag_geo_impossibility(df, 60, limit).select(
+            "event", "card_hash", F.col("fraud_geo_impossibility").alias(name)
+        )
+        for name, limit in (("geo_hit", TUNED.busy_card_rows), ("geo_hit_as_busy", BUSY_ROWS))
+    ]
+    return routes[0].join(routes[1], ["event", "card_hash"])
+
+
 def _scored(spark, sf_dir, config=TUNED):
     return fraud.apply_all_fraud_rules(card_stream(spark, sf_dir), config).select(
         "transaction_id", "card_hash", "amount", "country_code", "transaction_type",

@@ -195,7 +195,23 @@ SELECT check_name, CASE WHEN failed THEN 'FAIL' ELSE 'PASS' END AS status, messa
   NOT failed AS passed, '2024-01-15' AS processing_date FROM checks"""
 )
 
+_ABSENT = """,
+gaps AS (
+  SELECT transaction_id AS event, card_hash,
+    CASE WHEN CAST(transaction_id AS BIGINT) % 3 <> 0 THEN transaction_id END AS id,
+    CASE WHEN CAST(transaction_id AS BIGINT) % 5 <> 1 THEN country_code END AS country,
+    CASE WHEN CAST(transaction_id AS BIGINT) % 7 <> 2 THEN sec END AS at
+  FROM txn
+),
+apart AS (
+  SELECT DISTINCT a.card_hash FROM gaps a JOIN gaps b
+    ON a.card_hash = b.card_hash AND a.id <> b.id AND a.country <> b.country AND b.at BETWEEN a.at - 3600 AND a.at
+)"""
+
 ORACLES: dict[str, str] = {
+    "fraud_geo_gaps": f"""{STREAM}{_ABSENT}
+SELECT event, card_hash, card_hash IN (SELECT card_hash FROM apart) AS geo_hit,
+  card_hash IN (SELECT card_hash FROM apart) AS geo_hit_as_busy FROM gaps""",
     "settlement": f"{LEDGER}, dated AS (SELECT *, '2024-01-15' AS processing_date FROM txn) {_SETTLEMENT}",
     "mcc_spending": f"""{LEDGER}
 SELECT merchant_category_code, currency, count(*) AS txn_count, CAST(sum(abs(amount)) AS {_MONEY}) AS total_spend,

@@ -18,6 +18,7 @@ from swipeline.streaming import app
 from swipeline.streaming.sinks import (
     ONCE,
     append_table,
+    close_date,
     fraud_batch_writer,
     land,
     latest_totals,
@@ -95,6 +96,22 @@ def test_running_totals_equal_their_batch_form(spark, txns, scratch, files):
     assert rows_of(got) == rows_of(card_daily_totals(txns(*rows)))
 
 
+def test_a_closed_date_holds_its_latest_totals_and_a_rerun_changes_nothing(spark, txns, scratch):
+    rows = [*traffic(), {**LAST, "timestamp": T0 + timedelta(days=1)}]
+    feed(txns, f"{scratch}/in", rows, 4)
+    running_totals(
+        card_daily_totals(stream(spark, f"{scratch}/in")), f"{scratch}/out", f"{scratch}/cp", ONCE
+    ).awaitTermination()
+    expected = card_daily_totals(txns(*rows))
+    dates = sorted(r.date for r in expected.select("date").distinct().collect())
+    assert len(dates) > 1
+    for date in (*dates, dates[0]):
+        close_date(spark, f"{scratch}/out", f"{scratch}/closed", str(date))
+    close_date(spark, f"{scratch}/out", f"{scratch}/closed", "1999-01-01")
+    got = spark.read.parquet(f"{scratch}/closed").select(*expected.columns)
+    assert rows_of(got) == rows_of(expected)
+
+
 def test_late_rows_are_dropped_after_the_watermark(spark, txns, scratch):
     on_time = {"transaction_id": "a", "timestamp": T0}
     ahead = {"transaction_id": "b", "timestamp": T0 + timedelta(hours=1)}
