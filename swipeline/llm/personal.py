@@ -2,8 +2,10 @@
 
 Only Spark's own functions. A kind's matches come from cutting the text at them: pieces between
 matches and the matches themselves alternate, so a match starts after the lengths of all before it.
-Expressions are possessive and start only where a run of their characters starts, so a long run
-costs its length, not the square of it; this finds the same leftmost matches.
+Expressions of the base kinds are possessive and start only where a run of their characters starts, so
+a long run costs its length, not the square of it; this finds the same leftmost matches. Account numbers
+are only looked ahead at, as long as their country has them: what follows one is not taken for a part
+of it, and a false start hides no number that begins inside it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ class Kind:
     """A kind of personal data: its expression, a character each match holds, words that support it.
 
     ``sure`` is the score without such a word; matches under the operator's least score are left out.
+    The match of an ``ahead`` kind is group 1 of an expression that itself takes no character.
     """
 
     name: str
@@ -31,7 +34,21 @@ class Kind:
     holds: str
     context: str
     sure: float
-
+    ahead: bool = False
+
+
+#: Signs of an account number by country (ISO 13616 registry, and the countries that use it unregistered).
+_IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_SIGN = r"(?:\x20?[A-Z0-9])"
+_SIZED = "|".join(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}{_SIGN}{{{n - 4}}}" for n, codes in _IBAN.items())
+_OTHER = rf"(?!{'|'.join(_IBAN.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}{_SIGN}{{11,30}}+"
+_ACCOUNT = rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{_SIZED}|{_OTHER})(?![A-Za-z0-9])))"
 
 #: The base kinds, in the order of the report.
 BASE = (
@@ -42,7 +59,7 @@ BASE = (
 )
 #: What the method adds to the base: account numbers, and 3-2-4 identity numbers if a word near supports them.
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", "iban|account|bank", 0.8),
+    Kind("iban", _ACCOUNT, "", "iban|account|bank", 0.8, ahead=True),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", "ssn|social|security", 0.3),
 )
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
@@ -119,14 +136,16 @@ def personal_spans(docs: DataFrame, least: float = 0.5) -> DataFrame:
     rows = step(
         rows,
         "found",
-        lambda k: F.when(F.contains("text", F.lit(k.holds)), F.regexp_extract_all("text", F.lit(k.pattern), F.lit(0))),
+        lambda k: F.when(F.contains("text", F.lit(k.holds)), F.regexp_extract_all("text", F.lit(k.pattern), F.lit(int(k.ahead)))),
         (),
     )
-    rows = step(rows, "gaps", lambda k: F.when(F.size(of(k, "found")) > 0, F.split("text", k.pattern)), ("found",))
+    # Nothing is split off at an empty match in front of all text, hence the space.
+    whole = lambda k: F.concat(F.lit(" "), "text") if k.ahead else F.col("text")
+    rows = step(rows, "gaps", lambda k: F.when(F.size(of(k, "found")) > 0, F.split(whole(k), k.pattern)), ("found",))
     rows = step(
         rows,
         "steps",
-        lambda k: F.transform(of(k, "found"), lambda m, i: F.length(F.get(of(k, "gaps"), i)) + F.length(m)),
+        lambda k: F.transform(of(k, "found"), lambda m, i: F.length(F.get(of(k, "gaps"), i)) + (0 if k.ahead else F.length(m))),
         ("found", "gaps"),
     )
     rows = step(
@@ -149,7 +168,10 @@ def personal_spans(docs: DataFrame, least: float = 0.5) -> DataFrame:
         def one(match: Column, i: Column) -> Column:
             run, at = F.floor(i / _RUN).cast("int"), (i % _RUN).cast("int")
             end = F.get(of(k, "before"), run) + _sum(F.slice(of(k, "steps"), run * _RUN + 1, at + 1))
-            return _span(k, match, end - F.length(match), F.get(of(k, "gaps"), i), F.get(of(k, "gaps"), i + 1))
+            before, after = F.get(of(k, "gaps"), i), F.get(of(k, "gaps"), i + 1)
+            if k.ahead:
+                return _span(k, match, end - 1, before, F.substr(after, F.length(match) + 1))
+            return _span(k, match, end - F.length(match), before, after)
 
         found = F.when((F.size(of(k, "before")) > 0) & (F.size(of(k, "gaps")) > 0), F.transform(of(k, "found"), one))
         good = F.filter(found, lambda s: s["ok"] & (s["score"] >= (0.0 if k in BASE else least)))

@@ -234,6 +234,22 @@ def test_personal_data_has_the_base_spans(spark):
     assert added["spans"].endswith("iban:8:35,ssn:74:85")
 
 
+def test_account_numbers_end_where_their_country_ends_them(spark):
+    texts = {
+        "GB82 WEST 1234 5698 7654 32 Thanks": ["iban:0:27"],
+        "é😀 DE89 3704 0044 0532 0130 00 On 12 May": ["iban:3:30"],
+        "GB82 WEST 1234 5698 7654 32 IS mine": ["iban:0:27"],
+        "GB82 WEST 1234 5698 7654 32 BIC NWBKGB2L": ["iban:0:27"],
+        "DE89370400440532013000 EUR 500": ["iban:0:22"],
+        "DE89370400440532013000 GB82 WEST 1234 5698 7654 32 NO93 8601 1117 947": ["iban:0:22", "iban:23:50", "iban:51:69"],
+        "FR12 GB82 WEST 1234 5698 7654 32 A": ["iban:5:32"],
+        "DE89370400440532013001, DE8937040044053201300, xDE89370400440532013000, DE89370400440532013000x": [],
+    }
+    rows = personal.summary(personal.personal_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("iban")] for r in rows}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_simhash_groups_equal_brute_force(docs, empty, spark):
     rng = random.Random(11)
     base = words(rng, 400).split()
