@@ -371,6 +371,32 @@ def test_pipeline_stages(spark, docs):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_near_copies_keep_one_row_of_each_group(spark):
+    rng = random.Random(12)
+    base = words(rng, 300).split()
+    rows = [(None, " ".join(base)), (5, " ".join(base)), (5, " ".join(base)), (3, words(rng, 200)), (None, words(rng, 90))]
+    for i in range(40):
+        copy = list(base)
+        for at in rng.sample(range(300), rng.randint(1, 12)):
+            copy[at] = f"Q{i}"
+        rows.append((rng.choice([i, 3, 5, None]), " ".join(copy)))
+    rows += [(50 + i, words(rng, 40)) for i in range(5)] + [(60, ""), (61, None), (None, " ")]
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = [shingles(t) for _, t in rows]
+    alike = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    part, groups = union_find(alike, range(len(rows))), {}
+    for i, (doc, _) in enumerate(rows):
+        groups.setdefault(part[i], []).append(10**6 if doc is None else doc)
+    table = spark.createDataFrame([(i, t, "en", "s", 0, "k", "c") for i, t in rows], DOCS).repartition(3)
+    got = corpus_pipeline.near_copies(spark, table, SF).collect()
+    where = {t: part[i] for i, (_, t) in enumerate(rows)}
+    assert sorted((where[r["text"]], 10**6 if r["doc_id"] is None else r["doc_id"]) for r in got) == sorted((p, min(i)) for p, i in groups.items())
+
+
 def test_every_query_runs_on_the_smallest_tables(spark):
     import duckdb
 
