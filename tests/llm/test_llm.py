@@ -371,6 +371,15 @@ def test_pipeline_stages(spark, docs):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_pipeline_keeps_one_row_of_equal_texts(spark, docs):
+    rows = odd_rows()
+    got = [(r["doc_id"], r["text"] or "") for r in corpus_pipeline.exact_copies(spark, docs, SF).collect()]
+    ids: dict = {}
+    for doc, text, *_ in rows:
+        ids.setdefault(text or "", []).append(-1 if doc is None else doc)
+    assert sorted((-1 if d is None else d, t) for d, t in got) == sorted((max(i), t) for t, i in ids.items())
+
+
 def test_near_copies_keep_one_row_of_each_group(spark):
     rng = random.Random(12)
     base = words(rng, 300).split()
@@ -397,6 +406,19 @@ def test_near_copies_keep_one_row_of_each_group(spark):
     assert sorted((where[r["text"]], 10**6 if r["doc_id"] is None else r["doc_id"]) for r in got) == sorted((p, min(i)) for p, i in groups.items())
 
 
+def test_mixture_takes_rows_without_an_id(spark):
+    rng = random.Random(13)
+    rows = [(rng.choice([None, 1, 2]), words(rng, rng.randint(1, 30)), "en", rng.choice(["a", "b", None]), 0, "k", "c") for _ in range(150)]
+    table = spark.createDataFrame(rows, DOCS).repartition(3)
+    keyed = table.selectExpr("xxhash64(struct(doc_id, source, text)) doc_id", "source", "text")
+    taken = sum(r["taken"] for r in mixing.mix(keyed).collect())
+    got = corpus_pipeline.mixture(spark, table, SF).collect()
+    assert sum(len(r["text"].split()) for r in got) == taken > 0
+    assert any(r["doc_id"] is None for r in got)
+    whole = {(r[0], r[3]): [x[1] for x in rows if (x[0], x[3]) == (r[0], r[3])] for r in rows}
+    assert all(any(t.startswith(r["text"]) for t in whole[r["doc_id"], r["source"]]) for r in got)
+
+
 def test_every_query_runs_on_the_smallest_tables(spark):
     import duckdb
 
