@@ -2,11 +2,10 @@
 
 A graph of neighbour lists starts from sorted signatures of random hyperplanes and is refined by
 joining it to itself: neighbours of neighbours become neighbours if they are nearer than the worst of
-a full list. Lists that are full of links (saturated) may hide more of them; their nodes get lists as
-long as their whole component, compared in blocks that only count, so no pair leaves a task.
-
-Only edges above cos(2 theta) are followed, theta the angle of the threshold: two linked vectors have
-their common near neighbours within it.
+a full list. Lists that are full of links (saturated) may hide more of them. Inside a component all pairs
+are compared, in blocks that only count, so no pair leaves a task. Towards others, nodes of components
+with saturated lists get a second list, of vectors of other components only, refined the same way, until
+no components meet any more.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from swipeline.llm.common import components, forget, stored
 
 _EDGE = "src long, dst long, cos double"
+_SIGNED = "kind long, label string, sign long, rep long, part long, unit binary"
 
 
 def units(embeddings: DataFrame) -> DataFrame:
@@ -67,45 +67,56 @@ def _signed(classes: DataFrame, tables: int, seed: int) -> DataFrame:
                 for t in range(tables):
                     kind = pa.array(np.full(len(part), t * 100_000 + size))
                     yield pa.RecordBatch.from_arrays(
-                        [kind, part.column("label"), pa.array(signs[:, t]), part.column("rep"), part.column("unit")],
-                        ["kind", "label", "sign", "rep", "unit"],
+                        [kind, part.column("label"), pa.array(signs[:, t]), part.column("rep"), part.column("part"), part.column("unit")],
+                        ["kind", "label", "sign", "rep", "part", "unit"],
                     )
 
-    return classes.select("rep", "label", "unit").mapInArrow(run, "kind long, label string, sign long, rep long, unit binary")
+    return classes.select("rep", "part", "label", "unit").mapInArrow(run, _SIGNED)
+
+
+def _met(batches: Iterator[pa.RecordBatch], floor: float, window: int) -> Iterator[pa.RecordBatch]:
+    """Edges of ordered rows to the ``window`` rows before their stretch of one part."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        if held is not None:
+            now = pa.concat_tables([held, now])
+        rows = now.to_pydict()
+        group = np.unique(np.array([f"{a} {b}" for a, b in zip(rows["kind"], rows["label"])]), return_inverse=True)[1]
+        ids, part = np.array(rows["rep"], np.int64), np.array(rows["part"], np.int64)
+        old = 0 if held is None else held.num_rows
+        length = np.array([len(u) for u in rows["unit"]])
+        unit = np.zeros((len(ids), max(length, default=0) // 8))
+        for size in np.unique(length):
+            some = np.flatnonzero(length == size)
+            unit[some, : size // 8] = np.frombuffer(b"".join(rows["unit"][i] for i in some), "<f8").reshape(len(some), -1)
+        new = np.r_[True, (part[1:] != part[:-1]) | (group[1:] != group[:-1])]
+        start = np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
+        for step in range(1, window + 1):
+            b = np.arange(old, len(ids))
+            b = b[start[b] >= step]
+            a = start[b] - step
+            some = (group[a] == group[b]) & (part[a] != part[b])
+            a, b = a[some], b[some]
+            cos = np.einsum("ij,ij->i", unit[a], unit[b])
+            some = cos >= floor
+            yield _both(ids[a[some]], ids[b[some]], cos[some])
+        last = int(start[-1])
+        held = now.take(pa.array(np.r_[max(0, last - window) : last, max(last, len(ids) - window) : len(ids)]))
 
 
 def first_edges(classes: DataFrame, floor: float, tables: int, window: int, seed: int) -> DataFrame:
     """Edges above ``floor`` between vectors at most ``window`` places apart in an order of signatures.
 
-    The order is dealt in ranges down to the row, so a large group of near copies spreads over tasks.
+    Vectors of one ``part`` are not compared, and a stretch of them counts as one place. The order is
+    dealt in ranges down to the row, so a large group of near copies spreads over tasks.
     """
     keys = ["kind", "label", "sign", "rep"]
     ordered = _signed(classes, tables, seed).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            if held is not None:
-                now = pa.concat_tables([held, now])
-            rows = now.to_pydict()
-            group = np.unique(np.array([f"{a} {b}" for a, b in zip(rows["kind"], rows["label"])]), return_inverse=True)[1]
-            ids = np.array(rows["rep"], np.int64)
-            old = 0 if held is None else held.num_rows
-            length = np.array([len(u) for u in rows["unit"]])
-            unit = np.zeros((len(ids), max(length, default=0) // 8))
-            for size in np.unique(length):
-                some = np.flatnonzero(length == size)
-                unit[some, : size // 8] = np.frombuffer(b"".join(rows["unit"][i] for i in some), "<f8").reshape(len(some), -1)
-            for step in range(1, window + 1):
-                a = np.arange(max(0, old - step), len(ids) - step)
-                a = a[group[a] == group[a + step]]
-                cos = np.einsum("ij,ij->i", unit[a], unit[a + step])
-                some = cos >= floor
-                yield _both(ids[a[some]], ids[a[some] + step], cos[some])
-            held = now.slice(max(0, now.num_rows - window))
-
-    return ordered.mapInArrow(run, _EDGE)
+    return ordered.mapInArrow(lambda batches: _met(batches, floor, window), _EDGE)
 
 
 def _both(a: np.ndarray, b: np.ndarray, cos: np.ndarray) -> pa.RecordBatch:
@@ -152,43 +163,38 @@ def descend(classes: DataFrame, graph: DataFrame, floor: float, k: int, rounds:
     return graph
 
 
-def _links_in_blocks(members: DataFrame, threshold: float, block: int, buckets: int) -> DataFrame:
-    """(rep, links): for each class the rows of other classes of its component at ``threshold`` or nearer.
+def _parted(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with ``part``, their component by ``links``."""
+    found = components(links, "src", "dst").select(F.col("node").alias("rep"), "component")
+    joined = classes.drop("part").join(found, "rep", "left")
+    return stored(joined.withColumn("part", F.coalesce("component", "rep")).drop("component"), "parts")
+
 
-    Components of up to ``block`` classes share groups; larger ones are cut into blocks, a group for
-    each pair of them.
+def bridges(classes: DataFrame, graph: DataFrame, threshold: float, floor: float, k: int, tables: int, window: int, rounds: int, seed: int) -> DataFrame:
+    """Links between components whose lists are full of their own links, ``part`` in ``classes``.
+
+    Lists hold vectors of other components only. The neighbours of a member are tried on what the
+    member found, from both sides, so a pair of components is searched where they are nearest.
     """
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
-    rows = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    bucket = F.when(F.col("blocks") > 1, F.col("component")).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(buckets)))
-    rows = rows.select("component", "rep", "n", "unit", "own", bucket.alias("bucket"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    left = rows.select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), "component", "rep", "unit")
-    names = {"bucket": "bucket", "other": "i", "own": "j", "component": "c", "rep": "r", "unit": "u", "n": "m"}
-    right = rows.select(*[F.col(old).alias(new) for old, new in names.items()])
-
-    def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        out_rep, out_links = [], []
-        whose_a, whose_b = a.column("component").to_numpy(), b.column("c").to_numpy()
-        order_a, order_b = np.argsort(whose_a, kind="stable"), np.argsort(whose_b, kind="stable")
-        parts, first = np.unique(whose_a[order_a], return_index=True)
-        for part, at, end in zip(parts, first, [*first[1:], len(order_a)]):
-            x = order_a[at:end]
-            lo, hi = np.searchsorted(whose_b[order_b], [part, part + 1])
-            y = order_b[lo:hi]
-            ids, others = a.column("rep").to_numpy()[x], b.column("r").to_numpy()[y]
-            near = _matrix(a.column("unit").take(pa.array(x))) @ _matrix(b.column("u").take(pa.array(y))).T >= threshold
-            near &= ids[:, None] != others[None, :]
-            out_rep.append(ids)
-            out_links.append(near @ b.column("m").to_numpy()[y])
-        empty = [np.empty(0, np.int64)]
-        return pa.table({"rep": pa.array(np.concatenate(out_rep or empty)), "links": pa.array(np.concatenate(out_links or empty))})
-
-    # Spark can't tell the sides of a self-join apart by columns they share, hence the new names.
-    left = left.toDF("bucket", "i", "j", "component", "rep", "unit")
-    cells = ["bucket", "i", "j"]
-    counted = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(run, "rep long, links long")
-    return counted.groupBy("rep").agg(F.sum("links").alias("links"))
+    full = graph.where(F.col("cos") >= threshold).groupBy("src").count().where(F.col("count") >= k)
+    parts = full.join(classes, full["src"] == classes["rep"]).select("part").distinct()
+    several = classes.select("part", "label").join(parts, "part").distinct().groupBy("label").count().where("count > 1")
+    some = stored(classes.join(parts, "part", "left_semi").join(several, "label", "left_semi"), "full")
+    lists = stored(_nearest(first_edges(some, floor, tables, window, seed), k), "graph")
+    part_of = lambda end: some.select(F.col("rep").alias(end), F.col("part").alias(f"{end}_part"))
+    for _ in range(rounds if not lists.isEmpty() else 0):
+        near = graph.select("src", F.col("dst").alias("mid"))
+        far = lists.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
+        pairs = near.join(far, "mid").select(F.least("src", "far").alias("src"), F.greatest("src", "far").alias("dst")).distinct()
+        pairs = pairs.join(part_of("src"), "src").join(part_of("dst"), "dst").where("src_part <> dst_part").select("src", "dst")
+        new = pairs.join(lists.select("src", "dst"), ["src", "dst"], "left_anti")
+        after = stored(_nearest(lists.union(_compared(new, some, floor)), k), "graph")
+        settled = after.join(lists.select("src", "dst"), ["src", "dst"], "left_anti").isEmpty()
+        forget(lists)
+        lists = after
+        if settled:
+            break
+    return lists.where(F.col("cos") >= threshold)
 
 
 def near_vectors(
@@ -213,9 +219,15 @@ def near_vectors(
     usable = rows.where("unit is not null and vec_id is not null")
     classes = stored(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes")
     floor = 2 * threshold * threshold - 1
-    start = stored(_nearest(first_edges(classes, floor, tables, window, seed), k), "graph")
+    alone = classes.withColumn("part", F.col("rep"))
+    start = stored(_nearest(first_edges(alone, floor, tables, window, seed), k), "graph")
     graph = descend(classes, start, floor, k, rounds)
-    found = stored(components(graph.where(F.col("cos") >= threshold), "src", "dst"), "components")
+    links = graph.where(F.col("cos") >= threshold).select("src", "dst")
+    parted = _parted(classes, links)
+    while not (more := bridges(parted, graph, threshold, floor, k, tables, window, rounds, seed)).isEmpty():
+        links = stored(links.union(more.select("src", "dst")), "links")
+        parted = _parted(classes, links)
+    found = stored(parted.select(F.col("rep").alias("node"), F.col("part").alias("component")), "components")
     members = classes.join(found, classes["rep"] == found["node"]).select("component", "rep", "n", "unit")
     buckets = max(1, found.count() // (4 * block))
     links = _links_in_blocks(members, threshold, block, buckets)

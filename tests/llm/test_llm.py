@@ -200,6 +200,30 @@ def test_near_vectors_find_links_and_components(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def links_and_parts(rows):
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    part = union_find(list(zip(*(x.tolist() for x in np.nonzero(near)))), range(len(rows)))
+    return {i: (int(near[i].sum()), part[i]) for i in range(len(rows))}
+
+
+def vector_rows(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+
+
+def test_groups_that_fill_their_lists_still_meet(spark):
+    rng = np.random.default_rng(9)
+    a, b, far = np.linalg.qr(rng.standard_normal((32, 3)))[0].T
+    centres = [a, 0.984 * a + np.sqrt(1 - 0.984**2) * b, far]
+    rows = [(i, (c + 0.003 * rng.standard_normal(32)).tolist(), 0) for i, c in enumerate(c for c in centres for _ in range(40))]
+    want = links_and_parts(rows)
+    assert want[0][0] == 79 and len({p for _, p in want.values()}) == 2
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(vector_rows(spark, rows)).collect()}
+    assert got == want
+
+
 def base_spans(text):
     out = {k: [] for k in ("email", "ip", "card", "phone")}
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
