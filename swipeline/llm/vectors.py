@@ -6,6 +6,12 @@ a full list. Lists that are full of links (saturated) may hide more of them. Ins
 are compared, in blocks that only count, so no pair leaves a task. Towards others, nodes of components
 with saturated lists get a second list, of vectors of other components only, refined the same way, until
 no components meet any more.
+
+Then a sample is compared with every vector. While too few of its vectors have all their links within
+their component, the search goes on with twice as many orders of signatures.
+
+Only edges above cos(2 theta) are followed, theta the angle of the threshold: two linked vectors have
+their common near neighbours within it.
 """
 
 from __future__ import annotations
@@ -111,12 +117,32 @@ def first_edges(classes: DataFrame, floor: float, tables: int, window: int, seed
     """Edges above ``floor`` between vectors at most ``window`` places apart in an order of signatures.
 
     Vectors of one ``part`` are not compared, and a stretch of them counts as one place. The order is
-    dealt in ranges down to the row, so a large group of near copies spreads over tasks.
+    dealt in ranges down to the row, so a large group of near copies spreads over tasks; the ends of
+    the ranges meet once more by themselves.
     """
     keys = ["kind", "label", "sign", "rep"]
     ordered = _signed(classes, tables, seed).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
-    return ordered.mapInArrow(lambda batches: _met(batches, floor, window), _EDGE)
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, last = 0, None
+        for batch in batches:
+            head = min(batch.num_rows, max(0, window - begun))
+            begun += head
+            if head:
+                yield batch.slice(0, head)
+            rest = pa.Table.from_batches([batch.slice(head)])
+            last = rest if last is None else pa.concat_tables([last, rest])
+            last = last.slice(max(0, last.num_rows - window)).combine_chunks()
+        if last is not None:
+            yield from last.to_batches()
+
+    def border(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("sign", "ascending"), ("rep", "ascending")])
+        found = list(_met(iter(rows.combine_chunks().to_batches()), floor, window))
+        return pa.Table.from_batches(found or [_both(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))])
+
+    inside = ordered.mapInArrow(lambda batches: _met(batches, floor, window), _EDGE)
+    return inside.union(ordered.mapInArrow(ends, _SIGNED).groupBy("kind", "label").applyInArrow(border, _EDGE))
 
 
 def _both(a: np.ndarray, b: np.ndarray, cos: np.ndarray) -> pa.RecordBatch:
@@ -197,6 +223,78 @@ def bridges(classes: DataFrame, graph: DataFrame, threshold: float, floor: float
     return lists.where(F.col("cos") >= threshold)
 
 
+def recall(classes: DataFrame, threshold: float, sample: int, seed: int) -> float:
+    """Of a sample of the vectors that have links, the share with all of them in their own ``part``.
+
+    The sample is compared with every vector, in blocks; only counts leave a task.
+    """
+    drawn = classes.orderBy(F.xxhash64("rep", F.lit(seed)), "rep").limit(sample).select("rep", "label", "part", "unit").collect()
+    groups: dict = {}
+    for r in drawn:
+        groups.setdefault((r["label"], len(r["unit"])), []).append(r)
+    held = {
+        key: (np.array([r["rep"] for r in rs]), np.array([r["part"] for r in rs]), np.frombuffer(b"".join(r["unit"] for r in rs), "<f8").reshape(len(rs), -1))
+        for key, rs in groups.items()
+    }
+    shared = classes.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds: dict = {}
+            for i, (label, unit) in enumerate(zip(batch.column("label").to_pylist(), batch.column("unit").to_pylist(), strict=True)):
+                kinds.setdefault((label, len(unit)), []).append(i)
+            for key in kinds.keys() & shared.value.keys():
+                ids, parts, unit = shared.value[key]
+                rows = batch.take(pa.array(kinds[key]))
+                near = (unit @ _matrix(rows.column("unit")).T >= threshold) & (ids[:, None] != rows.column("rep").to_numpy()[None, :])
+                lost = near & (parts[:, None] != rows.column("part").to_numpy()[None, :])
+                columns = [ids, near.sum(axis=1), lost.sum(axis=1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c[near.any(axis=1)]) for c in columns], ["rep", "links", "lost"])
+
+    counted = classes.select("rep", "label", "part", "unit").mapInArrow(run, "rep long, links long, lost long").groupBy("rep").agg(F.sum("lost").alias("lost"))
+    total, whole = counted.agg(F.count("*"), F.sum(F.when(F.col("lost") == 0, 1).otherwise(0))).first()
+    return whole / total if total else 1.0
+
+
+def _links_in_blocks(members: DataFrame, threshold: float, block: int, buckets: int) -> DataFrame:
+    """(rep, links): for each class the rows of other classes of its component at ``threshold`` or nearer.
+
+    Components of up to ``block`` classes share groups; larger ones are cut into blocks, a group for
+    each pair of them.
+    """
+    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
+    rows = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    bucket = F.when(F.col("blocks") > 1, F.col("component")).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(buckets)))
+    rows = rows.select("component", "rep", "n", "unit", "own", bucket.alias("bucket"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    left = rows.select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), "component", "rep", "unit")
+    names = {"bucket": "bucket", "other": "i", "own": "j", "component": "c", "rep": "r", "unit": "u", "n": "m"}
+    right = rows.select(*[F.col(old).alias(new) for old, new in names.items()])
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        out_rep, out_links = [], []
+        whose_a, whose_b = a.column("component").to_numpy(), b.column("c").to_numpy()
+        order_a, order_b = np.argsort(whose_a, kind="stable"), np.argsort(whose_b, kind="stable")
+        parts, first = np.unique(whose_a[order_a], return_index=True)
+        for part, at, end in zip(parts, first, [*first[1:], len(order_a)]):
+            x = order_a[at:end]
+            lo, hi = np.searchsorted(whose_b[order_b], [part, part + 1])
+            y = order_b[lo:hi]
+            ids, others = a.column("rep").to_numpy()[x], b.column("r").to_numpy()[y]
+            near = _matrix(a.column("unit").take(pa.array(x))) @ _matrix(b.column("u").take(pa.array(y))).T >= threshold
+            near &= ids[:, None] != others[None, :]
+            out_rep.append(ids)
+            out_links.append(near @ b.column("m").to_numpy()[y])
+        empty = [np.empty(0, np.int64)]
+        return pa.table({"rep": pa.array(np.concatenate(out_rep or empty)), "links": pa.array(np.concatenate(out_links or empty))})
+
+    # Spark can't tell the sides of a self-join apart by columns they share, hence the new names.
+    left = left.toDF("bucket", "i", "j", "component", "rep", "unit")
+    cells = ["bucket", "i", "j"]
+    counted = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(run, "rep long, links long")
+    return counted.groupBy("rep").agg(F.sum("links").alias("links"))
+
+
 def near_vectors(
     embeddings: DataFrame,
     threshold: float = 0.98,
@@ -206,6 +304,8 @@ def near_vectors(
     rounds: int = 6,
     block: int = 512,
     seed: int = 17,
+    least_recall: float = 0.99,
+    sample: int = 1024,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of (vec_id, embedding, label).
 
@@ -213,20 +313,27 @@ def near_vectors(
     components and null labels link with nothing: no links, their own component, kept. Copies of one
     direction are one class of the graph; each counts as a link of the others. An empty table gives
     no rows; other columns are not read. The graph is approximate between components and exact
-    within them; tests hold its recall against brute force.
+    within them; of ``sample`` vectors' links at least ``least_recall`` must be whole (see `recall`).
     """
     rows = stored(units(embeddings), "units")
     usable = rows.where("unit is not null and vec_id is not null")
     classes = stored(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes")
     floor = 2 * threshold * threshold - 1
     alone = classes.withColumn("part", F.col("rep"))
-    start = stored(_nearest(first_edges(alone, floor, tables, window, seed), k), "graph")
-    graph = descend(classes, start, floor, k, rounds)
-    links = graph.where(F.col("cos") >= threshold).select("src", "dst")
-    parted = _parted(classes, links)
-    while not (more := bridges(parted, graph, threshold, floor, k, tables, window, rounds, seed)).isEmpty():
-        links = stored(links.union(more.select("src", "dst")), "links")
+    graph = links = None
+    while True:
+        edges = first_edges(alone, floor, tables, window, seed)
+        start = stored(_nearest(edges if graph is None else graph.union(edges), k), "graph")
+        graph = descend(classes, start, floor, k, rounds)
+        near = graph.where(F.col("cos") >= threshold).select("src", "dst")
+        links = near if links is None else links.union(near)
         parted = _parted(classes, links)
+        while not (more := bridges(parted, graph, threshold, floor, k, tables, window, rounds, seed)).isEmpty():
+            links = stored(links.union(more.select("src", "dst")), "links")
+            parted = _parted(classes, links)
+        if recall(parted, threshold, sample, seed) >= least_recall:
+            break
+        links, tables, seed = stored(links, "links"), 2 * tables, seed + 1
     found = stored(parted.select(F.col("rep").alias("node"), F.col("part").alias("component")), "components")
     members = classes.join(found, classes["rep"] == found["node"]).select("component", "rep", "n", "unit")
     buckets = max(1, found.count() // (4 * block))

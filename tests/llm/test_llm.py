@@ -224,6 +224,17 @@ def test_groups_that_fill_their_lists_still_meet(spark):
     assert got == want
 
 
+def test_lone_pairs_are_searched_until_recall_is_met(spark):
+    rng = np.random.default_rng(10)
+    rows = []
+    for i in range(600):
+        v, w = rng.standard_normal((2, 16))
+        rows += [(2 * i, v.tolist(), 0), (2 * i + 1, (v + 0.12 * w).tolist(), 0)]
+    want = links_and_parts(rows)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(vector_rows(spark, rows), tables=1, window=1).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
+
+
 def base_spans(text):
     out = {k: [] for k in ("email", "ip", "card", "phone")}
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
