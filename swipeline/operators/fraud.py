@@ -6,20 +6,21 @@ All three rules look back along one card's transactions:
 * amount: is the amount far above the mean of the card's earlier amounts;
 * geography: were two transactions in different countries within W minutes.
 
-Cards are split in two sets, both computed exactly and put together again:
+One plan holds two ways through it, both exact, and takes a card by the one or the other:
 
 * An ordinary card fits one task. Window functions over one shuffle by card answer all rules.
 * A busy card (more than ``busy_card_rows`` transactions; it may hold a third of the table) is never
   gathered. Its rows are first summed per second, on the map side. The look-backs run over these
   seconds in slices of time that carry a copy of the seconds just before them, totals of earlier
-  slices are carried forward, and each transaction then picks up the values of its second.
-
-Which cards are busy is counted when a rule is applied, as ``pivot`` does for its columns: one job
-that reads the card column only. The answer is a list of 64-bit hashes with at most rows /
-``busy_card_rows`` entries, 8 MB for 10^12 rows at the default, so it is safe on the driver. Its size
-is known to Spark, which broadcasts it below the session's threshold and shuffles above it. Without
-busy cards the plan is the plain window plan. A hash collision only sends an ordinary card down the
-longer route.
+  slices are carried forward, and each transaction then picks up the values of its second. A busy
+  second is no group either: a sample of the rows cuts it into pieces in the order of its transactions,
+  pieces are summed on the map side, and their totals are carried forward like those of slices.
+
+Counting the cards and drawing the sample are steps of the plan: building a query starts no job and
+brings nothing to the driver. The list of busy cards and the cuts are broadcast, since both are
+bounded whatever the table holds (``_MOST_BUSY`` and ``_CUTS``). Where no card is busy, Spark finds the
+list empty and drops that part of the plan. A hash collision only sends an ordinary card down the
+longer way.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ REASONS = {
 }
 
 _SLICE_SECONDS = 3600
+# At most this many cards can hold more than this part of all rows.
+_MOST_BUSY = 50_000
+# Rows drawn to cut busy seconds: a piece holds about this part of the rows of busy cards.
+_CUTS = 16_384
+_CUT_RUN = 64
 _HISTORY = ("velocity_count", "_prior_rows", "_prior_amounts", "_prior_total", "_geo_hit")
 
 
@@ -152,21 +158,23 @@ def _amount_flag(config: FraudConfig) -> Column:
 
 def _with_history(df: DataFrame, config: FraudConfig) -> DataFrame:
     """Add the ``_HISTORY`` columns; what a caller does not use is pruned from the plan."""
-    timed = df.withColumn("_second", epoch_second())
+    timed = df.withColumns({"_second": epoch_second(), "_route": F.xxhash64("card_hash")})
     busy = busy_cards(df, config.busy_card_rows)
-    if not busy:
-        return _ordinary(timed, config)
-    routed = timed.withColumn("_route", F.xxhash64("card_hash"))
-    listed = df.sparkSession.createDataFrame([(b,) for b in busy], "_route long")
-    ordinary = routed.join(listed, "_route", "left_anti").drop("_route")
-    gathered = routed.join(listed, "_route", "left_semi").drop("_route")
-    return _ordinary(ordinary, config).unionByName(_busy(gathered, config))
+    listed = F.broadcast(busy.select("_route"))
+    ordinary = timed.join(listed, "_route", "left_anti").drop("_route")
+    gathered = timed.join(listed, "_route", "left_semi").drop("_route")
+    rows = busy.agg(F.sum("count")).scalar()
+    return _ordinary(ordinary, config).unionByName(_busy(gathered, config, rows))
 
 
-def busy_cards(df: DataFrame, limit: int) -> list[int]:
-    """Hashes of the cards with more than ``limit`` rows: at most rows / ``limit`` of them."""
+def busy_cards(df: DataFrame, limit: int) -> DataFrame:
+    """(_route, count): hashes of the cards with more than ``limit`` rows.
+
+    A card must also hold more than one in ``_MOST_BUSY`` of all rows, so there are fewer than that many.
+    """
     counts = df.groupBy(F.xxhash64("card_hash").alias("_route")).count()
-    return [row[0] for row in counts.where(F.col("count") > limit).select("_route").collect()]
+    share = counts.agg(F.sum("count")).scalar() / F.lit(_MOST_BUSY)
+    return counts.where((F.col("count") > limit) & (F.col("count") > share))
 
 
 def _changes(second: Column, first: Column, last: Column, located: Column, order: WindowSpec) -> Column:
@@ -240,34 +248,79 @@ def _ordinary(df: DataFrame, config: FraudConfig) -> DataFrame:
     )
 
 
-def _busy(df: DataFrame, config: FraudConfig) -> DataFrame:
+def _cuts(moments: DataFrame, rows: Column) -> DataFrame:
+    """(_moment, _cuts, _tops): places within the busy seconds, in order, and every ``_CUT_RUN``-th of them.
+
+    About ``_CUTS`` of all ``rows`` are drawn by their hash, so a second gets as many places as it has
+    rows to cut; one with fewer than two stays whole.
+    """
+    part = F.xxhash64("_moment", "_place").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+    drawn = moments.select("_moment", "_place").where(part * rows < _CUTS)
+    cuts = drawn.groupBy("_moment").agg(F.sort_array(F.collect_set("_place")).alias("_cuts")).where(F.size("_cuts") > 1)
+    return cuts.withColumn("_tops", F.filter("_cuts", lambda _, i: i % _CUT_RUN == 0))
+
+
+def _piece() -> Column:
+    """Number of the cuts up to a row's place: first among the tops, then in the run that begins there."""
+
+    def up_to(places: Column) -> Column:
+        return F.size(F.filter(places, lambda cut: cut <= F.col("_place")))
+
+    begin = (up_to(F.col("_tops")) - 1) * _CUT_RUN
+    inside = up_to(F.slice("_cuts", F.greatest(begin, F.lit(0)) + 1, F.lit(_CUT_RUN)))
+    return F.when(F.col("_cuts").isNull() | (begin < 0), 0).otherwise(begin + inside).cast("int")
+
+
+def in_pieces(df: DataFrame, rows: Column) -> DataFrame:
+    """Rows of busy cards with their ``_moment`` (card and second) and the ``_piece`` of it they lie in."""
     # Keys are structs so that an absent card or time is a key of its own, as in a window.
-    moments = df.withColumn("_moment", F.struct("card_hash", "_second"))
+    moments = df.withColumns(
+        {"_moment": F.struct("card_hash", "_second"), "_place": F.struct("timestamp", "transaction_id")}
+    )
+    placed = moments.join(F.broadcast(_cuts(moments, rows)), "_moment", "left")
+    return placed.withColumn("_piece", _piece()).drop("_cuts", "_tops", "_place")
+
+
+def _busy(df: DataFrame, config: FraudConfig, rows: Column) -> DataFrame:
+    moments = in_pieces(df, rows)
     # Two transactions are told apart by their ids: one without an id, or a country, is no partner.
     located = F.col("country_code").isNotNull() & F.col("transaction_id").isNotNull()
     located_id = F.when(located, F.col("transaction_id"))
     located_country = F.when(located, F.col("country_code"))
-    seconds = moments.groupBy("_moment").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("amount").alias("_amounts"),
-        F.sum("amount").alias("_total"),
-        F.min(located_country).alias("_first_country"),
-        F.max(located_country).alias("_last_country"),
-        F.min(located_id).alias("_first_id"),
-        F.max(located_id).alias("_last_id"),
+    before = Window.partitionBy("_moment").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    measures = ("_rows", "_amounts", "_total")
+    pieces = (
+        moments.groupBy("_moment", "_piece")
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count("amount").alias("_amounts"),
+            F.sum("amount").alias("_total"),
+            F.min(located_country).alias("_first_country"),
+            F.max(located_country).alias("_last_country"),
+            F.min(located_id).alias("_first_id"),
+            F.max(located_id).alias("_last_id"),
+        )
+        .withColumns({f"_piece{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in measures})
+    )
+    # A second has as many pieces as cuts, so the list that its row takes along is bounded by those.
+    seconds = pieces.groupBy("_moment").agg(
+        *[F.sum(m).alias(m) for m in measures],
+        *[F.min(c).alias(c) for c in ("_first_country", "_first_id")],
+        *[F.max(c).alias(c) for c in ("_last_country", "_last_id")],
+        F.collect_list(F.struct("_piece", *[f"_piece{m}" for m in measures])).alias("_pieces"),
     )
-    history = _carry_forward(_look_back(seconds, config))
+    history = _carry_forward(_look_back(seconds, config)).select("*", F.inline("_pieces"))
 
-    same_moment = Window.partitionBy("_moment").orderBy("timestamp", "transaction_id")
-    earlier = same_moment.rowsBetween(Window.unboundedPreceding, -1)
+    same_piece = Window.partitionBy("_moment", "_piece").orderBy("timestamp", "transaction_id")
+    earlier = same_piece.rowsBetween(Window.unboundedPreceding, -1)
     own_total = F.coalesce(F.sum("amount").over(earlier), F.lit(0))
-    total = F.col("_before_total") + own_total
+    total = F.col("_before_total") + F.col("_piece_total") + own_total
     return (
-        moments.join(history, "_moment")
+        moments.join(history, ["_moment", "_piece"])
         .withColumns(
             {
-                "_prior_rows": F.col("_before_rows") + F.count(F.lit(1)).over(earlier),
-                "_prior_amounts": F.col("_before_amounts") + F.count("amount").over(earlier),
+                "_prior_rows": F.col("_before_rows") + F.col("_piece_rows") + F.count(F.lit(1)).over(earlier),
+                "_prior_amounts": F.col("_before_amounts") + F.col("_piece_amounts") + F.count("amount").over(earlier),
                 "_prior_total": total.cast("decimal(38,2)"),
             }
         )
@@ -315,6 +368,7 @@ def _look_back(seconds: DataFrame, config: FraudConfig) -> DataFrame:
         before("_rows").alias("_slice_rows"),
         before("_amounts").alias("_slice_amounts"),
         before("_total").alias("_slice_total"),
+        F.when(F.col("_own"), F.col("_pieces")).alias("_pieces"),
     ).where("_own")
 
 
@@ -351,4 +405,5 @@ def _carry_forward(seconds: DataFrame) -> DataFrame:
         (F.col("_carried_rows") + F.col("_slice_rows")).alias("_before_rows"),
         (F.col("_carried_amounts") + F.col("_slice_amounts")).alias("_before_amounts"),
         (F.col("_carried_total") + F.col("_slice_total")).alias("_before_total"),
+        "_pieces",
     )

@@ -163,6 +163,27 @@ def fraud_all_busy_cards(spark, sf_dir):
     return _scored(spark, sf_dir, busy)
 
 
+@query
+def fraud_hot_second(spark, sf_dir):
+    """A third of the rows lies in three seconds of one card, another eighth has no time at all."""
+    number = F.col("transaction_id").cast("long")
+    hot = number % 3 == 0
+    second = F.unix_timestamp(F.lit("2024-01-10 12:00:00")) + number % 9 / 3
+    df = card_stream(spark, sf_dir).withColumns(
+        {
+            "card_hash": F.when(hot, "hot").otherwise(F.col("card_hash")),
+            "timestamp": F.when(number % 8 == 1, None).when(hot, F.timestamp_seconds(second.cast("long"))).otherwise(F.col("timestamp")),
+        }
+    )
+    scored = fraud.flag_amount_anomaly(df, busy_card_rows=BUSY_ROWS)
+    counted = fraud.flag_velocity(df, TUNED.velocity_window_seconds, TUNED.velocity_max_txns, BUSY_ROWS)
+    velocity = counted.select("transaction_id", "velocity_count", "fraud_velocity")
+    return scored.join(velocity, "transaction_id").select(
+        "transaction_id", "card_hash", F.round("rolling_avg", 6).alias("rolling_avg"), "prior_sample_count",
+        "fraud_amount_anomaly", "velocity_count", "fraud_velocity",
+    )
+
+
 @query
 def fraud_flagged_only(spark, sf_dir):
     return _scored(spark, sf_dir).where("is_fraud_flagged")

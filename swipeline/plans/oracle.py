@@ -262,6 +262,24 @@ SELECT transaction_id, card_hash, CAST(amount AS DOUBLE) AS amount_dbl, round(me
     "multi_country_cards": f"{_SCORED} SELECT card_hash FROM conflicts",
     "fraud_all": f"{_SCORED} SELECT {_SCORED_COLUMNS} FROM scored",
     "fraud_all_busy_cards": f"{_SCORED} SELECT {_SCORED_COLUMNS} FROM scored",
+    "fraud_hot_second": f"""{STREAM},
+heated AS (
+  SELECT transaction_id, amount, CASE WHEN n % 3 = 0 THEN 'hot' ELSE card_hash END AS card_hash,
+    CASE WHEN n % 8 = 1 THEN NULL WHEN n % 3 = 0 THEN TIMESTAMP '2024-01-10 12:00:00' + (n % 9 // 3) * INTERVAL 1 SECOND
+         ELSE "timestamp" END AS "timestamp"
+  FROM (SELECT *, CAST(transaction_id AS BIGINT) AS n FROM txn)
+),
+history AS (
+  SELECT *, count(*) OVER prior AS prior_sample_count, CAST(sum(amount) OVER prior AS DOUBLE) / count(*) OVER prior AS mean,
+    count(*) OVER (PARTITION BY card_hash ORDER BY CAST(floor(epoch("timestamp")) AS BIGINT) NULLS FIRST
+                   RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS velocity_count
+  FROM heated
+  WINDOW prior AS (PARTITION BY card_hash ORDER BY "timestamp" NULLS FIRST, transaction_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT transaction_id, card_hash, round(mean, 6) AS rolling_avg, prior_sample_count,
+  coalesce(prior_sample_count >= 3 AND CAST(amount AS DOUBLE) > mean * 3.0, false) AS fraud_amount_anomaly,
+  velocity_count, velocity_count > 5 AS fraud_velocity FROM history""",
     "fraud_flagged_only": f"{_SCORED} SELECT {_SCORED_COLUMNS} FROM scored WHERE is_fraud_flagged",
     "merchant_volume_5min": f"{STREAM}, {_MERCHANT_VOLUME} SELECT * FROM volumes",
     "issuer_xborder_1h": f"{STREAM}, {_XBORDER} SELECT * FROM ratios",

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from swipeline.functions.columns import epoch_second
 from swipeline.operators import fraud, quality, reports, time_windows
 from swipeline.plans.binding import banks, card_stream, ledger, merchants, table
 from swipeline.plans.catalog import NOW
@@ -70,9 +73,70 @@ def test_routing_reads_only_the_card(cards):
 
 def test_the_list_of_busy_cards_is_bounded(cards):
     rows, limit = cards.count(), 70
-    busy = fraud.busy_cards(cards, limit)
+    busy = fraud.busy_cards(cards, limit).collect()
     assert 0 < len(busy) <= rows / limit
-    assert fraud.busy_cards(cards, rows) == []
+    assert all(r["count"] > limit for r in busy)
+    assert fraud.busy_cards(cards, rows).collect() == []
+
+
+def test_a_busy_card_holds_its_share_of_all_rows(cards, monkeypatch):
+    monkeypatch.setattr(fraud, "_MOST_BUSY", 12)
+    rows, busy = cards.count(), fraud.busy_cards(cards, 0).collect()
+    assert len(busy) < 12 and all(r["count"] > rows / 12 for r in busy)
+
+
+def test_building_the_rules_starts_no_job(spark, cards):
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        fraud.apply_all_fraud_rules(cards, fraud.FraudConfig(busy_card_rows=5))
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _hot(spark):
+    """Nine rows in ten lie in one second of one card, half of those without any time."""
+    rows = [
+        (f"{i * 7919 % 20000:05d}", "hot" if i % 10 else f"c{i}", datetime(2024, 1, 15, 10) if i % 2 else None, Decimal(i % 90), "DE")
+        for i in range(20_000)
+    ]
+    return spark.createDataFrame(rows, "transaction_id string, card_hash string, timestamp timestamp, amount decimal(18,2), country_code string")
+
+
+def test_a_busy_second_is_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(fraud, "_CUTS", 400)
+    monkeypatch.setattr(fraud, "_CUT_RUN", 8)
+    df = _hot(spark)
+    timed = df.withColumns({"_second": epoch_second(), "_route": F.xxhash64("card_hash")})
+    placed = fraud.in_pieces(timed, F.lit(20_000))
+    sizes = [r["count"] for r in placed.groupBy("_moment", "_piece").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 20_000 / 400 * 12
+    # Pieces follow the order of the transactions within the second.
+    bounds = placed.groupBy("_moment", "_piece").agg(F.min("transaction_id").alias("a"), F.max("transaction_id").alias("b"))
+    of = {}
+    for r in bounds.collect():
+        of.setdefault(str(r["_moment"]), []).append((r["_piece"], r["a"], r["b"]))
+    for held in of.values():
+        held.sort()
+        assert all(x[2] < y[1] for x, y in zip(held, held[1:]))
+    assert max(map(len, of.values())) > 100
+
+
+def test_a_busy_second_counts_as_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(fraud, "_CUTS", 400)
+    df = _hot(spark)
+
+    def rows(limit):
+        scored = fraud.flag_amount_anomaly(df, busy_card_rows=limit)
+        return sorted((r["transaction_id"], r["prior_sample_count"], r["rolling_avg"]) for r in scored.collect())
+
+    assert rows(100) == rows(1_000_000)
+
+
+def test_the_plan_groups_busy_rows_by_piece(cards):
+    plan = executed(fraud.flag_amount_anomaly(cards, busy_card_rows=0))
+    windows = [line for line in plan.splitlines() if "Window [" in line and "transaction_id" in line]
+    assert windows and all("_piece" in line for line in windows)
 
 
 def test_single_rules_drop_what_they_do_not_use(cards):
