@@ -16,7 +16,7 @@ from swipeline.functions.columns import card_token
 from swipeline.operators import fraud, quality, reports, time_windows, validation
 from swipeline.plans.binding import banks, card_stream, ledger, merchants, places, table
 from swipeline.sources import kafka
-from swipeline.sources.landing import encode_json, parse_json, parsed, read_landing, write_landing
+from swipeline.sources.landing import encode_json, for_landing, parse_json, parsed, read_landing, write_landing
 from swipeline.sources.tables import read_table, write_date, write_processed, write_table
 from swipeline.sources.zones import Zones, scratch_dir
 from swipeline.streaming import sinks
@@ -458,3 +458,25 @@ def stream_landing(spark, sf_dir):
     return read_landing(spark, Zones(*[root] * 6)).select(
         "transaction_id", "amount", "timestamp", F.col("date").cast("string").alias("date"), "hour"
     )
+
+
+@query
+def landing_mixed(spark, sf_dir):
+    """A third each from a batch job, a stream and a foreign producer, and a crashed write of everything.
+
+    ``of_date`` says whether a read of one date sees the row too.
+    """
+    number = F.col("transaction_id").cast("long")
+    root = _drain(spark, sf_dir, lambda s, path, cp: sinks.land(s.where(number % 3 == 1), f"{path}/transactions", cp, sinks.ONCE))
+    zones, txns = Zones(*[root] * 6), card_stream(spark, sf_dir)
+    write_landing(txns.where(number % 3 == 0), zones)
+    foreign = for_landing(txns.where(number % 3 == 2)).write.mode("append").partitionBy("date", "hour")
+    foreign.json(f"{root}/transactions")
+    crashed = for_landing(txns).withColumn("batch", F.lit("stream-crashed-0")).write.mode("append")
+    crashed.partitionBy("date", "hour", "batch").json(f"{root}/transactions")
+    dated = read_landing(spark, zones, date=DATE).select(F.col("transaction_id").alias("_id"), F.lit(True).alias("_seen"))
+    landed = read_landing(spark, zones)
+    return landed.join(dated, F.col("transaction_id") == F.col("_id"), "left").select(
+        "transaction_id", "amount", "timestamp", F.col("date").cast("string").alias("date"), "hour",
+        F.coalesce("_seen", F.lit(False)).alias("of_date"),
+    )

@@ -388,4 +388,7 @@ WHERE make_timestamp((sec + 1) * 1000000) <= (SELECT max("timestamp") FROM txn)
     "stream_landing": f"""{STREAM}
 SELECT transaction_id, amount, "timestamp", strftime("timestamp", '%Y-%m-%d') AS date,
   CAST(hour("timestamp") AS INTEGER) AS hour FROM txn""",
+    "landing_mixed": f"""{STREAM}
+SELECT transaction_id, amount, "timestamp", strftime("timestamp", '%Y-%m-%d') AS date,
+  CAST(hour("timestamp") AS INTEGER) AS hour, CAST("timestamp" AS DATE) = DATE '2024-01-15' AS of_date FROM txn""",
 }

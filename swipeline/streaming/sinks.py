@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from swipeline.operators.fraud import FraudConfig, apply_all_fraud_rules
-from swipeline.sources.landing import for_landing
+from swipeline.sources.landing import write_owned
 
 log = logging.getLogger(__name__)
 
@@ -24,9 +24,21 @@ def append_table(df: DataFrame, path: str, checkpoint: str, trigger: dict, name:
 
 
 def land(df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str | None = None) -> StreamingQuery:
-    """Append transactions as NDJSON to the folder of their event hour, as the batch jobs read it."""
-    writer = _writer(for_landing(df), checkpoint, trigger, name)
-    return writer.outputMode("append").partitionBy("date", "hour").format("json").start(path)
+    """Append transactions as NDJSON to the folder of their event hour, as the batch jobs read it.
+
+    A micro-batch owns its files: a replay replaces them, and readers see them once all are written.
+    """
+    return _writer(df, checkpoint, trigger, name).foreachBatch(landing_batch_writer(path)).start()
+
+
+def landing_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for :func:`land`; owners are named by the checkpoint's query id."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_owned(batch, path, f"stream-{query}-{batch_id}", "replace")
+
+    return write
 
 
 def score_batches(

@@ -29,7 +29,8 @@ def landing_lines(
     schema: StructType = TRANSACTION,
 ) -> DataFrame:
     """Every line of those files, ``_corrupt_record`` holding what does not parse."""
-    text = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(zones.path("landing", dataset))
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", True)
+    text = reader.text(zones.path("landing", dataset))
     return parse_json(text.where(not_blank()), schema=schema)
 
 

@@ -12,7 +12,7 @@ from conftest import T0
 from swipeline.operators.fraud import FraudConfig, apply_all_fraud_rules, flag_amount_anomaly, flag_velocity
 from swipeline.operators.time_windows import card_daily_totals, issuer_cross_border_ratio, merchant_volume
 from swipeline.schemas import TRANSACTION, optional
-from swipeline.sources.landing import for_landing, parsed, read_landing, write_landing
+from swipeline.sources.landing import committed, for_landing, parsed, read_landing, write_landing, write_owned
 from swipeline.sources.zones import Zones
 from swipeline.streaming import app
 from swipeline.streaming.sinks import (
@@ -164,6 +164,35 @@ def test_landing_sink_feeds_the_batch_reader(spark, txns, scratch):
     assert os.path.isdir(f"{scratch}/z/landing/transactions/date=2024-01-15/hour=10")
 
 
+def test_a_crashed_landing_batch_is_unseen_until_its_replay(spark, txns, scratch):
+    zones = Zones.under(scratch)
+    root = zones.path("landing", "transactions")
+    write_landing(txns(*traffic(10)), zones)
+    first, replay = txns({"transaction_id": "n1"}, {"transaction_id": "n2"}), txns({"transaction_id": "n1"}, {"transaction_id": "n3"})
+    for_landing(first).withColumn("batch", F.lit("stream-q-7")).write.mode("append").partitionBy("date", "hour", "batch").json(root)
+    for seen in (read_landing(spark, zones), read_landing(spark, zones, date="2024-01-15")):
+        assert seen.count() == 10
+    write_owned(replay, root, "stream-q-7", "replace")
+    for seen in (read_landing(spark, zones), read_landing(spark, zones, date="2024-01-15")):
+        assert seen.count() == 12 and {"n1", "n3"} <= {r[0] for r in seen.select("transaction_id").collect()}
+    write_owned(replay, root, "stream-q-7", "replace")
+    assert read_landing(spark, zones).count() == 12
+    named = {r["batch"]: (r["rows"], r["dates"]) for r in committed(spark, root).collect()}
+    assert len(named) == 2 and named["stream-q-7"] == (2, ["2024-01-15"])
+    assert committed(spark, root, "2024-01-16").count() == 0
+    write_owned(txns().limit(0), root, "stream-q-8", "replace")
+    assert committed(spark, root).count() == 2
+
+
+def test_two_streams_of_one_name_own_their_batches(spark, txns, scratch):
+    zones = Zones.under(f"{scratch}/z")
+    for k in range(2):
+        feed(txns, f"{scratch}/in{k}", [{"transaction_id": f"{k}-{i}"} for i in range(5)], 2)
+        source = stream(spark, f"{scratch}/in{k}")
+        land(source, zones.path("landing", "transactions"), f"{scratch}/cp{k}", ONCE, "land").awaitTermination()
+    assert read_landing(spark, zones).select("transaction_id").distinct().count() == 10
+
+
 def test_application_runs_all_queries(spark, txns, scratch):
     rows = traffic()
     zones = Zones.under(scratch)
