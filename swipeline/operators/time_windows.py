@@ -9,6 +9,8 @@ copying each transaction into every window that covers it.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,13 +50,13 @@ def issuer_cross_border_ratio(
 ) -> DataFrame:
     """Cross-border share of all transactions per issuer and sliding window.
 
-    ``width`` must be a multiple of ``slide``, else a ValueError: transactions are first summed per slide.
+    Transactions are first summed in panes of the greatest length that divides both ``width`` and
+    ``slide``, so every window is made of whole panes. A slide longer than the width leaves gaps.
     """
-    if _seconds(width) % _seconds(slide):
-        raise ValueError(f"a width of {width} is not a multiple of a slide of {slide}")
+    pane = gcd(_seconds(width), _seconds(slide))
     panes = (
         df.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", slide).alias("_pane"), "issuer_id")
+        .groupBy(F.window("timestamp", f"{pane} seconds").alias("_pane"), "issuer_id")
         .agg(
             F.count(F.lit(1)).alias("_txns"),
             F.sum(F.col("is_cross_border").cast("long")).alias("_crossing"),

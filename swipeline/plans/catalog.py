@@ -20,6 +20,7 @@ from swipeline.sources.landing import encode_json, for_landing, parse_json, pars
 from swipeline.sources.tables import read_table, write_date, write_processed, write_table
 from swipeline.sources.zones import Zones, scratch_dir
 from swipeline.streaming import sinks
+from swipeline.streaming.replay import once_each
 from swipeline.streaming.sources import table_stream
 from swipeline.streaming.state import card_alerts
 
@@ -202,6 +203,11 @@ def issuer_xborder_1h(spark, sf_dir):
     return time_windows.issuer_cross_border_ratio(card_stream(spark, sf_dir))
 
 
+@query
+def issuer_xborder_50_20(spark, sf_dir):
+    return time_windows.issuer_cross_border_ratio(card_stream(spark, sf_dir), "50 minutes", "20 minutes")
+
+
 @query
 def card_daily(spark, sf_dir):
     return time_windows.card_daily_totals(card_stream(spark, sf_dir))
@@ -429,6 +435,11 @@ def stream_issuer_xborder(spark, sf_dir):
     return _appended(spark, sf_dir, time_windows.issuer_cross_border_ratio)
 
 
+@query
+def stream_issuer_xborder_50_20(spark, sf_dir):
+    return _appended(spark, sf_dir, lambda s: time_windows.issuer_cross_border_ratio(s, "50 minutes", "20 minutes"))
+
+
 @query
 def stream_card_daily(spark, sf_dir):
     path = _drain(
@@ -480,3 +491,19 @@ def landing_mixed(spark, sf_dir):
         "transaction_id", "amount", "timestamp", F.col("date").cast("string").alias("date"), "hour",
         F.coalesce("_seen", F.lit(False)).alias("of_date"),
     )
+
+
+@query
+def stream_replayed(spark, sf_dir):
+    """Land a stream whose producer sends the rows of odd number again, an hour and two days later."""
+    number = F.col("transaction_id").cast("long")
+
+    def start(s, path, cp):
+        sends = F.when(number % 2 == 1, F.array(*map(F.lit, (0, 3600, 172_800)))).otherwise(F.array(F.lit(0)))
+        sent = s.withColumn("_later", F.explode(sends))
+        later = F.timestamp_micros(F.unix_micros("timestamp") + F.col("_later").cast("long") * 1_000_000)
+        fresh, _ = once_each(sent.withColumn("arrived_at", later).drop("_later"))
+        return sinks.land(fresh, f"{path}/transactions", cp, sinks.ONCE)
+
+    root = _drain(spark, sf_dir, start)
+    return read_landing(spark, Zones(*[root] * 6)).select("transaction_id", "card_hash", "amount", "timestamp")

@@ -132,6 +132,17 @@ ratios AS (
   )
   GROUP BY start, issuer_id
 )"""
+_XBORDER_50_20 = """
+ratios AS (
+  SELECT start AS window_start, start + INTERVAL '50 minutes' AS window_end, issuer_id,
+    count(*) AS total_txns, CAST(sum(CAST(is_cross_border AS INTEGER)) AS BIGINT) AS cross_border_txns,
+    round(sum(CAST(is_cross_border AS INTEGER)) / count(*), 4) AS cross_border_ratio
+  FROM (
+    SELECT *, to_timestamp(CAST(sec // 1200 - k AS BIGINT) * 1200)::TIMESTAMP AS start FROM txn, range(3) AS steps(k)
+  )
+  WHERE "timestamp" < start + INTERVAL '50 minutes'
+  GROUP BY start, issuer_id
+)"""
 _CARD_DAILY = f"""
 SELECT card_hash, CAST("timestamp" AS DATE) AS date, count(*) AS daily_txn_count,
   CAST(sum(abs(amount)) AS {_MONEY}) AS daily_spend, max("timestamp") AS last_seen
@@ -283,6 +294,7 @@ SELECT transaction_id, card_hash, round(mean, 6) AS rolling_avg, prior_sample_co
     "fraud_flagged_only": f"{_SCORED} SELECT {_SCORED_COLUMNS} FROM scored WHERE is_fraud_flagged",
     "merchant_volume_5min": f"{STREAM}, {_MERCHANT_VOLUME} SELECT * FROM volumes",
     "issuer_xborder_1h": f"{STREAM}, {_XBORDER} SELECT * FROM ratios",
+    "issuer_xborder_50_20": f"{STREAM}, {_XBORDER_50_20} SELECT * FROM ratios",
     "card_daily": STREAM + _CARD_DAILY,
     "dq_nulls": f"""{LEDGER}{_GAPS}
 SELECT count(*) - count(transaction_id) AS null_count_transaction_id, count(*) - count(amount) AS null_count_amount,
@@ -356,6 +368,8 @@ FROM txn GROUP BY response_code""",
 SELECT * FROM volumes WHERE window_end <= (
   SELECT max("timestamp") FROM txn WHERE transaction_type IN ('purchase', 'p2p')) - INTERVAL '10 minutes'""",
     "stream_issuer_xborder": f"""{STREAM}, {_XBORDER}
+SELECT * FROM ratios WHERE window_end <= (SELECT max("timestamp") FROM txn) - INTERVAL '15 minutes'""",
+    "stream_issuer_xborder_50_20": f"""{STREAM}, {_XBORDER_50_20}
 SELECT * FROM ratios WHERE window_end <= (SELECT max("timestamp") FROM txn) - INTERVAL '15 minutes'""",
     "stream_card_daily": STREAM + _CARD_DAILY,
     "stream_fraud_batches": f"""{_SCORED}
@@ -391,4 +405,6 @@ SELECT transaction_id, amount, "timestamp", strftime("timestamp", '%Y-%m-%d') AS
     "landing_mixed": f"""{STREAM}
 SELECT transaction_id, amount, "timestamp", strftime("timestamp", '%Y-%m-%d') AS date,
   CAST(hour("timestamp") AS INTEGER) AS hour, CAST("timestamp" AS DATE) = DATE '2024-01-15' AS of_date FROM txn""",
+    "stream_replayed": f"""{STREAM}
+SELECT transaction_id, card_hash, amount, "timestamp" FROM txn""",
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from swipeline.sources.landing import encode_json, parse_json
 
+ARRIVED = "arrived_at"
+
 
 def source_options(servers: str, topic: str, starting_offsets: str = "latest") -> dict[str, str]:
     return {
@@ -17,9 +19,13 @@ def source_options(servers: str, topic: str, starting_offsets: str = "latest") -
 
 
 def read_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest") -> DataFrame:
-    """A stream of parsed transactions, with ``_corrupt_record`` for what did not parse."""
+    """A stream of parsed transactions, with ``_corrupt_record`` for what did not parse.
+
+    ``arrived_at`` is the time that the topic has for the record.
+    """
     options = source_options(servers, topic, starting_offsets)
-    return parse_json(spark.readStream.format("kafka").options(**options).load())
+    records = spark.readStream.format("kafka").options(**options).load()
+    return parse_json(records.withColumnRenamed("timestamp", ARRIVED), keep=(ARRIVED,))
 
 
 def encode(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -15,11 +16,14 @@ from swipeline.session import ObjectStore, open_session
 from swipeline.sources import kafka
 from swipeline.sources.landing import parsed
 from swipeline.sources.zones import Zones
+from swipeline.streaming.progress import ProgressTable
+from swipeline.streaming.replay import once_each
 from swipeline.streaming.sinks import append_table, land, running_totals, score_batches
 from swipeline.streaming.sources import landing_lines
 from swipeline.streaming.state import card_alerts
 
 QUARANTINE, ALERTS = "corrupt_stream_records", "card_alerts"
+ASIDE, PROGRESS = "late_transactions", "stream_progress"
 FRAUD, MERCHANTS, ISSUERS, CARDS = "fraud_flags", "merchant_volume", "issuer_xborder", "card_daily_totals"
 
 
@@ -75,10 +79,20 @@ def start_quarantine(corrupt: DataFrame, zones: Zones, trigger: dict) -> Streami
     return append_table(corrupt, place, zones.path("checkpoints", QUARANTINE), trigger, QUARANTINE)
 
 
+def start_landing(records: DataFrame, zones: Zones, trigger: dict) -> dict[str, StreamingQuery]:
+    """Land each transaction of a topic once, and store those that come too late to be told from repeats."""
+    fresh, aside = once_each(records)
+    place = zones.path("landing", "transactions"), zones.path("checkpoints", "land")
+    late = zones.path("quality", ASIDE), zones.path("checkpoints", ASIDE)
+    return {"land": land(fresh, *place, trigger, "land"), ASIDE: append_table(aside, *late, trigger, ASIDE)}
+
+
 def main(argv: list[str] | None = None) -> None:
     """Command line: the analytics queries, landing a topic, or the alerts that see across batches."""
     parser = argparse.ArgumentParser(description="Run streaming queries")
     parser.add_argument("job", nargs="?", default="analytics", choices=["analytics", "land", "alerts"])
+    parser.add_argument("--direct", action="store_true", help="read the topic, repeats included, not the landing zone")
+    parser.add_argument("--forget-days", type=int, help="alerts forget a card that is idle for so long")
     parser.add_argument("--shuffle-partitions", type=int, help="fixed for a checkpoint by its first run")
     args = parser.parse_args(argv)
     env = os.environ
@@ -87,22 +101,26 @@ def main(argv: list[str] | None = None) -> None:
     )
     zones, config = Zones.from_env(env), FraudConfig.from_env(env)
     servers = env.get("KAFKA_BOOTSTRAP_SERVERS")
-    if servers:
+    topic = args.direct or args.job == "land"
+    if topic and not servers:
+        parser.error("the topic needs KAFKA_BOOTSTRAP_SERVERS")
+    if topic:
         records = kafka.read_stream(spark, servers, env.get("KAFKA_TOPIC_TRANSACTIONS", "payment.transactions.raw"))
-    elif args.job == "land":
-        parser.error("land needs KAFKA_BOOTSTRAP_SERVERS")
     else:
         records = landing_lines(spark, zones)
+    spark.streams.addListener(ProgressTable(spark, zones.path("quality", PROGRESS)))
     source, corrupt = parsed(records)
     pace = {"processingTime": f"{env.get('STREAMING_TRIGGER_SECONDS', '30')} seconds"}
     if args.job == "land":
-        running = {"land": land(source, zones.path("landing", "transactions"), zones.path("checkpoints", "land"), pace, "land")}
+        running = start_landing(source, zones, pace)
     elif args.job == "alerts":
         places = zones.path("analytics", ALERTS), zones.path("checkpoints", ALERTS)
-        running = {ALERTS: append_table(card_alerts(source, config), *places, pace, ALERTS)}
+        forget = timedelta(days=args.forget_days) if args.forget_days else None
+        running = {ALERTS: append_table(card_alerts(source, config, forget_after=forget), *places, pace, ALERTS)}
     else:
         running = start(source, zones, config, Triggers(fraud=pace))
-    # One job of those on a source keeps its corrupt texts: with a topic the one that lands it.
-    if args.job == ("land" if servers else "analytics"):
+    # One job of those on a source keeps its corrupt texts: the one that lands the topic, and the
+    # analytics of the landing zone, where foreign files may hold some.
+    if args.job == "land" or args.job == "analytics" and not topic:
         running[QUARANTINE] = start_quarantine(corrupt, zones, pace)
     wait(spark, running)

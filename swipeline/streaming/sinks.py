@@ -36,7 +36,12 @@ def landing_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_owned(batch, path, f"stream-{query}-{batch_id}", "replace")
+        # A batch is read more than once; one that comes out of keyed state must not be computed twice.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_owned(batch, path, f"stream-{query}-{batch_id}", "replace")
+        finally:
+            batch.unpersist()
 
     return write
 

@@ -10,13 +10,16 @@ look-back window.
 Two differences from the table form follow from working forward in time: the mean covers the seconds
 before the present one, and a geography alert holds from the offending second on.
 
-State per card is four numbers and the active seconds of the longest look-back. It stays for as long
-as the card is known, since the mean runs over the whole history.
+State per card is four numbers and the active seconds of the longest look-back, to which a batch
+appends what is new; seconds out of reach are dropped when they are half of the list. The mean runs over
+the whole history, so state stays until a card has been idle for ``forget_after``, if that is given.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
@@ -29,11 +32,18 @@ from swipeline.operators.fraud import FraudConfig
 _RECENT = ["second", "txns", "first_country", "last_country", "first_id", "last_id"]
 
 
-def card_alerts(df: DataFrame, config: FraudConfig = FraudConfig(), delay: str = "10 minutes") -> DataFrame:
+def card_alerts(
+    df: DataFrame, config: FraudConfig = FraudConfig(), delay: str = "10 minutes", forget_after: timedelta | None = None
+) -> DataFrame:
     """One row per card and second of a stream, with the three rules evaluated on it.
 
-    Needs the RocksDB state store of the streaming profile.
+    A card that brings nothing for ``forget_after``, by the times of its transactions, begins anew,
+    however the input is cut into batches; a timer removes its state once the watermark is that far. A
+    query keeps the choice of its first run, to forget or not. Needs the RocksDB state store of the
+    streaming profile.
     """
+    if forget_after is not None and forget_after <= timedelta(seconds=max(config.velocity_window_seconds, config.geo_window_seconds)):
+        raise ValueError("forget_after must be longer than the look-backs")
     both = F.col("country_code").isNotNull() & F.col("transaction_id").isNotNull()
     located, country = F.when(both, F.col("transaction_id")), F.when(both, F.col("country_code"))
     seconds = (
@@ -50,17 +60,18 @@ def card_alerts(df: DataFrame, config: FraudConfig = FraudConfig(), delay: str =
             F.max(located).alias("last_id"),
         )
         .withColumn("second", F.unix_seconds("window.start"))
-        .drop("window")
     )
+    # Timers need the column that the watermark runs on.
+    seconds = seconds if forget_after else seconds.drop("window")
     return seconds.groupBy("card_hash").transformWithStateInPandas(
-        statefulProcessor=_CardHistory(config),
+        statefulProcessor=_CardHistory(config, forget_after and int(forget_after.total_seconds())),
         outputStructType=(
             "card_hash string, second timestamp, txn_count long, velocity_count long,"
             "prior_sample_count long, rolling_avg double, fraud_velocity boolean,"
             "fraud_amount_anomaly boolean, fraud_geo_impossibility boolean"
         ),
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime" if forget_after else "None",
     )
 
 
@@ -83,24 +94,53 @@ def _texts(column: pd.Series) -> np.ndarray:
     return column.astype(object).where(column.notna(), None).to_numpy(object)
 
 
+def _rows(seconds: pd.DataFrame) -> list[tuple]:
+    plain = seconds.astype(object)
+    return list(plain.where(plain.notna(), None).itertuples(index=False, name=None))
+
+
 class _CardHistory(StatefulProcessor):
     """Per card: totals over all earlier seconds, and the seconds a look-back can still reach."""
 
-    def __init__(self, config: FraudConfig) -> None:
-        self.config = config
+    def __init__(self, config: FraudConfig, forget_after: int | None = None) -> None:
+        self.config, self.forget_after = config, forget_after
         self.reach = max(config.velocity_window_seconds, config.geo_window_seconds)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "txns long, amounts long, cents long, conflict boolean")
+        self.handle = handle
+        self.totals = handle.getValueState("totals", "txns long, amounts long, cents long, conflict boolean, last long")
         self.recent = handle.getListState(
             "recent",
             "second long, txns long, first_country string, last_country string, first_id string, last_id string",
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        config = self.config
         arrived = pd.concat(list(rows)).sort_values("second", ignore_index=True)
-        txns, amounts, cents, hit = self.totals.get() if self.totals.exists() else (0, 0, 0, False)
+        if self.forget_after is None:
+            yield self._extend(key, arrived)
+            return
+        last = self.totals.get()[4] if self.totals.exists() else None
+        second = arrived.second.to_numpy("int64")
+        idle = np.diff(second, prepend=second[0] if last is None else last) >= self.forget_after
+        for first, end in itertools.pairwise([0, *np.flatnonzero(idle[1:]) + 1, len(arrived)]):
+            if idle[first]:
+                self._forget()
+            yield self._extend(key, arrived[first:end].reset_index(drop=True))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int(second[-1] + self.forget_after) * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._forget()
+        return iter(())
+
+    def _forget(self) -> None:
+        self.totals.clear()
+        self.recent.clear()
+
+    def _extend(self, key, arrived: pd.DataFrame) -> pd.DataFrame:
+        config = self.config
+        txns, amounts, cents, hit, _ = self.totals.get() if self.totals.exists() else (0, 0, 0, False, None)
         history = pd.DataFrame([tuple(r) for r in self.recent.get()] if self.recent.exists() else [], columns=_RECENT)
         known = len(history)
         seen = pd.concat([history, arrived[_RECENT]], ignore_index=True) if known else arrived[_RECENT]
@@ -130,11 +170,15 @@ class _CardHistory(StatefulProcessor):
                 int(amounts + arrived.amounts.sum()),
                 int(cents + arrived.cents.sum()),
                 bool(geo[-1]),
+                int(second[-1]),
             )
         )
-        keep = seen[second >= second[-1] - self.reach].astype(object)
-        self.recent.put(list(keep.where(keep.notna(), None).itertuples(index=False, name=None)))
-        yield pd.DataFrame(
+        in_reach = second >= second[-1] - self.reach
+        if in_reach[:known].sum() * 2 < known:
+            self.recent.put(_rows(seen[in_reach]))
+        else:
+            self.recent.appendList(_rows(seen[known:][in_reach[known:]]))
+        return pd.DataFrame(
             {
                 "card_hash": key[0],
                 "second": pd.to_datetime(arrived.second, unit="s"),

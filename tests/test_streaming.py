@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import calendar
 import os
 import random
+import time
 from datetime import timedelta
 
 import numpy as np
@@ -12,9 +14,12 @@ from conftest import T0
 from swipeline.operators.fraud import FraudConfig, apply_all_fraud_rules, flag_amount_anomaly, flag_velocity
 from swipeline.operators.time_windows import card_daily_totals, issuer_cross_border_ratio, merchant_volume
 from swipeline.schemas import TRANSACTION, optional
+from swipeline.sources import kafka
 from swipeline.sources.landing import committed, for_landing, parsed, read_landing, write_landing, write_owned
 from swipeline.sources.zones import Zones
 from swipeline.streaming import app
+from swipeline.streaming.progress import ProgressTable, late_rows
+from swipeline.streaming.replay import once_each
 from swipeline.streaming.sinks import (
     ONCE,
     append_table,
@@ -284,3 +289,146 @@ def test_card_alerts_do_not_depend_on_the_batches(spark, txns, scratch, files):
     alerted = got.where("fraud_geo_impossibility").select("card_hash").distinct()
     assert alerted.count() > 0
     assert rows_of(alerted) == rows_of(flagged.distinct())
+
+
+TOPIC = optional(TRANSACTION).add(kafka.ARRIVED, "timestamp")
+
+
+def publish(txns, path, name, rows, hours=0.0):
+    """A file of the topic, its records arriving so many hours after their event time."""
+    sent = txns(*rows).withColumn(kafka.ARRIVED, F.expr(f"timestamp + INTERVAL '{int(hours * 3600)}' SECOND"))
+    sent.coalesce(1).write.parquet(f"{path}/{name}")
+
+
+def finish(queries):
+    for query in queries.values():
+        query.awaitTermination()
+
+
+def test_a_replayed_batch_changes_no_stream_table(spark, txns, scratch):
+    zones, rows = Zones.under(f"{scratch}/z"), [*traffic(), {**LAST, "timestamp": T0 + timedelta(hours=20)}]
+
+    def run():
+        finish(app.start_landing(table_stream(spark, f"{scratch}/topic/*/", TOPIC), zones, ONCE))
+        source = landing_stream(spark, zones, schema=optional(TRANSACTION))
+        finish(app.start(source, zones, FraudConfig(velocity_max_txns=2), app.Triggers.once()))
+        tables = {n: spark.read.parquet(zones.path("analytics", n)) for n in (app.FRAUD, app.MERCHANTS, app.ISSUERS)}
+        tables[app.CARDS] = latest_totals(spark, zones.path("analytics", app.CARDS))
+        return {n: rows_of(df.drop("batch_id")) for n, df in tables.items()}
+
+    publish(txns, f"{scratch}/topic", "first", rows)
+    before = run()
+    assert all(before.values())
+    publish(txns, f"{scratch}/topic", "replay", rows[10:90], hours=2)
+    publish(txns, f"{scratch}/topic", "long-after", rows[:40], hours=72)
+    assert run() == before
+    aside = spark.read.parquet(zones.path("quality", app.ASIDE))
+    assert rows_of(aside.drop(kafka.ARRIVED)) == rows_of(txns(*rows[:40]))
+
+
+def test_records_without_an_id_pass_and_odd_times_are_set_aside(spark, txns, scratch):
+    rows = [{"transaction_id": None}] * 3 + [{"transaction_id": "a"}] * 2 + [{"transaction_id": "b"}]
+    publish(txns, f"{scratch}/topic", "now", rows, hours=1)
+    publish(txns, f"{scratch}/topic", "ahead", [{"transaction_id": "c"}], hours=-2)
+    publish(txns, f"{scratch}/topic", "edge", [{"transaction_id": "d"}], hours=24)
+    timeless = spark.createDataFrame([("e", None)], "transaction_id string, timestamp timestamp")
+    timeless.withColumn(kafka.ARRIVED, F.lit(T0)).write.parquet(f"{scratch}/topic/timeless")
+    fresh, aside = once_each(table_stream(spark, f"{scratch}/topic/*/", TOPIC))
+    for name, part in (("fresh", fresh), ("aside", aside)):
+        append_table(part, f"{scratch}/{name}", f"{scratch}/cp-{name}", ONCE).awaitTermination()
+    passed = spark.read.parquet(f"{scratch}/fresh")
+    assert sorted(str(r[0]) for r in passed.select("transaction_id").collect()) == ["None"] * 3 + ["a", "b", "d"]
+    assert kafka.ARRIVED not in passed.columns
+    assert {r[0] for r in spark.read.parquet(f"{scratch}/aside").select("transaction_id").collect()} == {"c", "e"}
+
+
+@pytest.mark.parametrize("files", [1, 3, 8])
+def test_idle_cards_are_forgotten(spark, txns, scratch, files):
+    """The card pauses for four hours, then for one; others go on, so the watermark passes its pause."""
+    starts = (0, 4, 5)
+    rows = [{"transaction_id": f"p{h}-{i}", "card_hash": "c", "timestamp": T0 + timedelta(hours=h, seconds=i)} for h in starts for i in range(3)]
+    rows += [{**LAST, "transaction_id": f"z{h}", "timestamp": T0 + timedelta(hours=h)} for h in range(1, 12)]
+    rows.sort(key=lambda r: r["timestamp"])
+    feed(txns, f"{scratch}/in", rows, files)
+    found, state = {}, {}
+    for name, forget_after in (("kept", None), ("within", timedelta(hours=5)), ("expired", timedelta(hours=2))):
+        alerts = card_alerts(stream(spark, f"{scratch}/in"), FraudConfig(), forget_after=forget_after)
+        query = append_table(alerts, f"{scratch}/{name}", f"{scratch}/cp-{name}", ONCE)
+        query.awaitTermination()
+        out = spark.read.parquet(f"{scratch}/{name}").where("card_hash = 'c'").orderBy("second")
+        found[name] = [r["prior_sample_count"] for r in out.collect()]
+    assert found["kept"] == found["within"] == list(range(9))
+    assert found["expired"] == [0, 1, 2, 0, 1, 2, 3, 4, 5]
+    with pytest.raises(ValueError, match="look-backs"):
+        card_alerts(txns({}), forget_after=timedelta(minutes=30))
+
+
+def test_the_state_of_idle_cards_shrinks(spark, txns, scratch):
+    rows = [{"transaction_id": f"s{i}", "card_hash": f"c{i}", "timestamp": T0 + timedelta(seconds=i)} for i in range(40)]
+    rows += [{**LAST, "transaction_id": f"z{h}", "timestamp": T0 + timedelta(hours=h)} for h in range(1, 9)]
+    feed(txns, f"{scratch}/in", rows, 12)
+    kept = []
+    for forget_after in (None, timedelta(hours=2)):
+        alerts = card_alerts(stream(spark, f"{scratch}/in"), FraudConfig(), forget_after=forget_after)
+        query = append_table(alerts, f"{scratch}/out{len(kept)}", f"{scratch}/cp{len(kept)}", ONCE)
+        query.awaitTermination()
+        kept.append(min(o["numRowsTotal"] for o in query.lastProgress["stateOperators"] if "ransformWithState" in o["operatorName"]))
+    assert kept[1] < kept[0] / 4
+
+
+def test_look_back_list_is_appended_to_and_cut(spark, txns, scratch):
+    """Bursts hours apart over many batches: the list is cut between them, alerts stay those of one batch."""
+    rows = [
+        {"transaction_id": f"r{b}-{i}", "card_hash": "c", "timestamp": T0 + timedelta(hours=3 * b, seconds=7 * i), "country_code": "US" if (b, i) != (2, 4) else "GB"}
+        for b in range(4)
+        for i in range(9)
+    ]
+    rows.append({**LAST, "timestamp": T0 + timedelta(days=2)})
+    found = []
+    for files in (1, 12):
+        feed(txns, f"{scratch}/in{files}", rows, files)
+        alerts = card_alerts(stream(spark, f"{scratch}/in{files}"), FraudConfig(velocity_max_txns=4))
+        append_table(alerts, f"{scratch}/out{files}", f"{scratch}/cp{files}", ONCE).awaitTermination()
+        found.append(rows_of(spark.read.parquet(f"{scratch}/out{files}")))
+    assert found[0] == found[1] and len(found[0]) == 36
+
+
+def test_late_rows_show_up_in_a_table(spark, txns, scratch):
+    listener = ProgressTable(spark, f"{scratch}/progress")
+    spark.streams.addListener(listener)
+    try:
+        late = {"transaction_id": "late", "timestamp": T0}
+        parts = [[{}, {**LAST, "timestamp": T0 + timedelta(hours=5)}], [{**LAST, "transaction_id": "y", "timestamp": T0 + timedelta(hours=5)}], [late]]
+        for k, rows in enumerate(parts):
+            txns(*rows).coalesce(1).write.parquet(f"{scratch}/in/f{k}")
+            query = append_table(merchant_volume(stream(spark, f"{scratch}/in")), f"{scratch}/out", f"{scratch}/cp", ONCE, f"volume-{k}")
+            query.awaitTermination()
+        for _ in range(60):
+            if os.path.isdir(f"{scratch}/progress") and late_rows(spark, f"{scratch}/progress").agg(F.sum("late_rows")).first()[0]:
+                break
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    counted = late_rows(spark, f"{scratch}/progress").groupBy("query").agg(F.sum("late_rows")).collect()
+    assert {r[0]: r[1] for r in counted if r[1]} == {"volume-2": 1}
+    stored = spark.read.parquet(f"{scratch}/progress")
+    assert stored.agg(F.sum("input_rows")).first()[0] == 4
+
+
+@pytest.mark.parametrize(("width", "slide"), [("50 minutes", "20 minutes"), ("7 minutes", "7 minutes"), ("90 seconds", "1 minute")])
+def test_windows_of_any_width_and_slide(txns, width, slide):
+    rows = traffic(60)
+    size, step = (int(x.split()[0]) * (60 if "minute" in x else 1) for x in (width, slide))
+    want = {}
+    for r in rows:
+        second = calendar.timegm(r["timestamp"].timetuple())
+        start = second // step * step
+        while start + size > second:
+            held = want.setdefault((start, r["issuer_id"]), [0, 0])
+            held[0] += 1
+            held[1] += r["is_cross_border"]
+            start -= step
+    got = issuer_cross_border_ratio(txns(*rows), width, slide).collect()
+    found = {(calendar.timegm(r["window_start"].timetuple()), r["issuer_id"]): [r["total_txns"], r["cross_border_txns"]] for r in got}
+    assert found == want
+    assert all((r["window_end"] - r["window_start"]).total_seconds() == size for r in got)

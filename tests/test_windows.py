@@ -53,12 +53,3 @@ def test_card_daily(txns):
         ("x", date(2024, 1, 16)): (1, 1, late + timedelta(seconds=1)),
         ("y", date(2024, 1, 15)): (1, 50, T0),
     }
-
-
-def test_a_width_that_is_no_multiple_of_the_slide_is_refused(txns):
-    import pytest
-
-    from swipeline.operators.time_windows import issuer_cross_border_ratio
-
-    with pytest.raises(ValueError):
-        issuer_cross_border_ratio(txns({}), "50 minutes", "20 minutes")
