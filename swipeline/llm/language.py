@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -80,12 +81,59 @@ def features_of(core: bytes, lexicon: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _step(register: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return _table()[(register ^ byte) & np.uint32(255)] ^ (register >> np.uint32(8))
+
+
+@lru_cache(maxsize=1)
+def _table() -> np.ndarray:
+    """CRC-32 of each byte, as the register has it."""
+    byte = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        byte = np.where(byte & 1, (byte >> np.uint32(1)) ^ np.uint32(0xEDB88320), byte >> np.uint32(1))
+    return byte
+
+
 def _flat(cores: list[bytes], lexicon: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of all words one after the other, and the word that each belongs to."""
-    rows = [features_of(c, lexicon) for c in cores]
-    n = np.array([len(r) for r in rows], np.int64)
-    flat = np.fromiter((f for r in rows for f in r), np.int64, int(n.sum()))
-    return (flat ^ flat >> _BITS) & ((1 << _BITS) - 1), np.repeat(np.arange(len(cores)), n)
+    """Feature numbers of all words, those of `features_of`, and the word that each belongs to.
+
+    All words lie in one array, so a feature is a few steps of the CRC over whole arrays.
+    """
+    if not cores:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    data = np.frombuffer(b"".join([b"^" + c + b"$" for c in cores]), np.uint8).astype(np.uint32)
+    size, word, ones = np.array([len(c) for c in cores]), np.arange(len(cores)), np.uint32(0xFFFFFFFF)
+    first = np.cumsum(size + 2) - size - 1
+    flat, owner = [], []
+
+    def add(register: np.ndarray, whose: np.ndarray) -> None:
+        flat.append(register ^ ones)
+        owner.append(whose)
+
+    # Affixes of a word shorter than asked for are the word itself.
+    for seed, at_end in ((11, False), (13, True)):
+        for n in (1, 2, 3, 4):
+            many = np.minimum(n, size)
+            start = first + size - many if at_end else first
+            register = np.full(len(cores), np.uint32(seed) ^ ones)
+            for k in range(n):
+                live = np.flatnonzero(k < many)
+                register[live] = _step(register[live], data[start[live] + k])
+            add(register, word)
+    whose = np.repeat(word, size + 2)
+    room = np.repeat(first + size, size + 2) - np.arange(len(data))  # bytes after this one
+    for n in (2, 3, 4):
+        at = np.flatnonzero(room >= n - 1)
+        register = np.full(len(at), np.uint32(n) ^ ones)
+        for k in range(n):
+            register = _step(register, data[at + k])
+        add(register, whose[at])
+    label = np.array([lexicon.get(c, -1) for c in cores])
+    known = np.flatnonzero(label >= 0)
+    names = np.array([zlib.crc32(b"%d" % k, 17) for k in range(label.max(initial=-1) + 1)], np.uint32)
+    add(names[label[known]] ^ ones, known)
+    numbers = np.concatenate(flat).astype(np.int64)
+    return (numbers ^ numbers >> _BITS) & ((1 << _BITS) - 1), np.concatenate(owner)
 
 
 def _scores(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -292,11 +340,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return columns.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def reject_unknown(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more.
+def reject_unknown(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language.
 
-    Rejects null texts, texts without a letter, and texts so even between languages that no one of
-    them has three tenths. Empty tables stay empty; further columns pass.
+    Rejects null texts and texts without a letter, nothing else: texts even between languages stay,
+    and if no language was learned, every text with a letter does. Repeated rows are judged alike, long
+    texts as a whole; empty tables stay empty; further columns pass.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -304,7 +353,11 @@ def reject_unknown(docs: DataFrame, model: Model, least: float = 0.3) -> DataFra
         words = Words(shared.value)
         for whole in batches:
             for batch in batches_of(whole, "text", 3 << 20):
-                lang, score = predict(shared.value, batch.column("text").to_pylist(), words)
-                yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)]))
+                texts = batch.column("text").to_pylist()
+                if shared.value.labels:
+                    keep = [x != UNKNOWN for x in predict(shared.value, texts, words)[0]]
+                else:
+                    keep = [any(map(str.isalpha, t or "")) for t in texts]
+                yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

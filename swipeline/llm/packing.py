@@ -36,10 +36,10 @@ class WordIds:
     The vocabulary drops white space before anything else, so a text's ids are those of its words one
     after the other. Most words are Latin letters, then ASCII marks; such a word is encoded by these
     two parts, each of which the vocabulary ends with an id of its own kind. Beyond ``room``
-    words a task forgets them and starts anew.
+    words a task starts a new store, and keeps the one before for the words that come up again.
     """
 
-    def __init__(self, path: str, room: int = 300_000):
+    def __init__(self, path: str, room: int = 150_000):
         from tokenizers import Tokenizer
 
         if path not in _TOKENIZERS:
@@ -50,6 +50,7 @@ class WordIds:
         self.tokenizer, self.last = _TOKENIZERS[path]
         self.room = room
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -79,12 +80,15 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        for held in (self.known, self.parts):
-            if len(held) > self.room:
-                held.clear()
+        if len(self.known) > self.room:
+            self.known, self.before = {}, self.known
+        if len(self.parts) > self.room:
+            self.parts = {}
         missing = set().union(*split).difference(self.known)
-        if missing:
-            self._encode(list(missing))
+        again = missing.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        if len(again) < len(missing):
+            self._encode(list(missing.difference(again)))
         find = self.known.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
