@@ -35,6 +35,15 @@ def forget(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps.
+
+    Its cleaner does so once the driver's JVM has collected what refers to them, which a driver with little
+    to do puts off for half an hour; a job of many steps over whole texts would keep them all.
+    """
+    spark._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
