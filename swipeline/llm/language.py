@@ -37,7 +37,7 @@ class Model:
 class Words:
     """Scores of the words that a task has met; beyond ``room`` it starts anew, so its size is bounded."""
 
-    def __init__(self, model: Model, room: int = 250_000):
+    def __init__(self, model: Model, room: int = 150_000):
         self.model, self.room = model, room
         self.row: dict[str, int] = {}
         self.parts: list[np.ndarray] = []
@@ -269,7 +269,7 @@ def predict(model: Model, texts: list[str | None], words: Words | None = None) -
     best, score = np.full(len(texts), -1), np.zeros(len(texts))
     first = 0
     while first < len(order):
-        last = first + max(1, int(np.searchsorted(np.cumsum(n[order[first:]]), 200_000)))
+        last = first + max(1, int(np.searchsorted(np.cumsum(n[order[first:]]), 100_000)))
         group = order[first:last]
         at, doc = _positions(n[group])
         held = np.empty(len(at), np.int64)
@@ -329,12 +329,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(shared.value)
         for whole in batches:
-            for batch in batches_of(whole, "text", 3 << 20):
+            for batch in batches_of(whole, "text", 2 << 20):
                 lang, score = predict(shared.value, batch.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                     ["doc_id", "held_out", "lang_pred", "score"],
                 )
+            pa.default_memory_pool().release_unused()
 
     columns = docs.select("doc_id", _held_out().alias("held_out"), "text")
     return columns.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
@@ -352,12 +353,13 @@ def reject_unknown(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(shared.value)
         for whole in batches:
-            for batch in batches_of(whole, "text", 3 << 20):
+            for batch in batches_of(whole, "text", 2 << 20):
                 texts = batch.column("text").to_pylist()
                 if shared.value.labels:
                     keep = [x != UNKNOWN for x in predict(shared.value, texts, words)[0]]
                 else:
                     keep = [any(map(str.isalpha, t or "")) for t in texts]
                 yield batch.filter(pa.array(keep, pa.bool_()))
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)

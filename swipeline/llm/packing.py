@@ -120,6 +120,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int, step: int, wi
                     ],
                     names,
                 )
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
