@@ -114,4 +114,4 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum("v")).first())
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(20,0)"))).first())

@@ -102,14 +102,15 @@ def _index_bucket(key: tuple, part: pa.Table) -> pa.Table:
     )
 
 
-def build_index(history: DataFrame, per_bucket: int = 50_000) -> tuple[DataFrame, int]:
+def build_index(history: DataFrame, incoming: int = 0, per_bucket: int = 50_000) -> tuple[DataFrame, int]:
     """The index over the classes of a history, a row per bucket, and the number of buckets.
 
-    Buckets follow the number of distinct digests, so each stays at about ``per_bucket`` of them;
-    digests spread evenly whatever the texts are.
+    Buckets follow the number of distinct digests, of the history or of the ``incoming`` classes that
+    will be looked up in it, whichever has more, so each stays at about ``per_bucket`` of either; digests
+    spread evenly whatever the texts are.
     """
     classes = stored(history, "classes")
-    buckets = max(1, -(-classes.count() // per_bucket))
+    buckets = max(1, -(-max(classes.count(), incoming) // per_bucket))
     grouped = _bucketed(classes, buckets).groupBy("bucket")
     return stored(grouped.applyInArrow(_index_bucket, INDEX), "index"), buckets
 
@@ -163,8 +164,9 @@ def exact_dedup(docs: DataFrame, history: DataFrame) -> DataFrame:
     and text are not read. Empty tables give no rows.
     """
     old, new = digests(history), digests(docs)
-    index, buckets = build_index(classes_of(old))
-    classes = stored(merge(index, buckets, classes_of(new)), "classes")
+    fresh = stored(classes_of(new), "fresh")
+    index, buckets = build_index(classes_of(old), fresh.count())
+    classes = stored(merge(index, buckets, fresh), "classes")
     return (
         old.union(new)
         .join(classes, "digest")
@@ -179,8 +181,7 @@ def exact_dedup(docs: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows up to the middle of the id range, as history, and those after it."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    middle = F.lit(None).cast("long") if low is None else F.lit((low + high) // 2)
-    early = F.coalesce(F.col("doc_id") <= middle, F.lit(True))
+    """The rows up to about the median id, as history, and those after it; null ids are history."""
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    early = F.coalesce(F.col("doc_id") <= F.lit(middle).cast("long"), F.lit(True))
     return docs.where(early), docs.where(~early)

@@ -17,7 +17,6 @@ and a text's strings fall into runs that share an anchor. A run's context is the
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,9 +31,9 @@ from swipeline.llm.common import batches_of, stored, text_or_empty
 _BASE = 0x9E3779B97F4A7C15
 _PIECE = 1 << 20  # bytes hashed at once
 _PLACE = np.uint64((1 << 21) - 1)
-_RUNS = "key long, whole long, doc long, crc long, lo int, n int"
-_CONTEXTS = "key long, doc long, crc long, lo int, left int, bytes binary"
-_FOUND = "doc long, crc long, lo int, hi int"
+_RUNS = "key long, whole long, doc long, mark long, lo int, n int"
+_CONTEXTS = "key long, doc long, mark long, lo int, left int, bytes binary"
+_FOUND = "doc long, mark long, lo int, hi int"
 
 
 @lru_cache(maxsize=1)
@@ -94,6 +93,12 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
     return h[anchor[first]], anchor[first], start[first], n
 
 
+def _mark(text: bytes) -> int:
+    """What Spark's xxhash64 gives for the text."""
+    value = xxhash.xxh64_intdigest(text, 42)
+    return value - (value >> 63 << 64)
+
+
 def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
     for at in range(0, max(1, len(text) - length + 1), _PIECE):
         yield at, text[at : at + _PIECE + length - 1]
@@ -132,18 +137,18 @@ def runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
             raw = text.encode("utf-8", "replace")
             if len(raw) < length:
                 continue
-            crc = zlib.crc32(raw)
+            mark = _mark(raw)
             for at, piece in _pieces(raw, length):
                 if group and held + len(piece) > 2 * _PIECE - length:
                     flush()
                     held = 0
-                group.append((doc, crc, at, piece))
+                group.append((doc, mark, at, piece))
                 held += len(piece)
         if group:
             flush()
         kinds = [pa.int64()] * 4 + [pa.int32()] * 2
         arrays = [pa.array(np.concatenate(x).astype(k.to_pandas_dtype()) if x else [], k) for x, k in zip(out, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, ["key", "whole", "doc", "crc", "lo", "n"])
+        return pa.RecordBatch.from_arrays(arrays, ["key", "whole", "doc", "mark", "lo", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -209,10 +214,10 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int, at_once: int) -> It
         out: list[tuple] = []
         for r, hit in zip(rows, hits, strict=True):
             for a, b in zip(*_intervals(hit), strict=True):
-                out.append((r["doc"], r["crc"], r["lo"] + int(a), r["lo"] + int(b)))
+                out.append((r["doc"], r["mark"], r["lo"] + int(a), r["lo"] + int(b)))
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "crc", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "mark", "lo", "hi"])
 
     held: list[dict] = []
     for batch in batches:
@@ -232,13 +237,13 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             n = len(r["bytes"]) - length + 1
             digest = [xxhash.xxh3_128_digest(r["bytes"][i : i + length]) for i in range(n)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest, pa.binary()), pa.array([r["doc"]] * n, pa.int64()), pa.array([r["crc"]] * n, pa.int64()), pa.array(range(r["lo"], r["lo"] + n), pa.int32())],
-                ["digest", "doc", "crc", "lo"],
+                [pa.array(digest, pa.binary()), pa.array([r["doc"]] * n, pa.int64()), pa.array([r["mark"]] * n, pa.int64()), pa.array(range(r["lo"], r["lo"] + n), pa.int32())],
+                ["digest", "doc", "mark", "lo"],
             )
 
 
 def repeated_strings(docs: DataFrame, length: int, gram: int, at_once: int, hot: int) -> DataFrame:
-    """(doc, crc, lo, hi): first and last starts of repeated strings, by text."""
+    """(doc, mark, lo, hi): first and last starts of repeated strings, by text."""
     found = runs(docs, length, gram)
     # Counted before the shuffle, stored and joined back, so that an anchor in every text is no task's
     # group: Spark splits a skewed join only where both sides come straight from their shuffles.
@@ -247,45 +252,45 @@ def repeated_strings(docs: DataFrame, length: int, gram: int, at_once: int, hot:
     # Stored for the same reason: one context may be that of a third of all runs.
     alike = stored(
         known.groupBy("key", "whole", "n").agg(
-            F.count("*").alias("of_whole"), F.max("of_key").alias("of_key"), F.min(F.struct("doc", "crc", "lo")).alias("first")
+            F.count("*").alias("of_whole"), F.max("of_key").alias("of_key"), F.min(F.struct("doc", "mark", "lo")).alias("first")
         ),
         "alike",
     )
     entire = known.join(alike.where("of_whole > 1").select("key", "whole", "n"), ["key", "whole", "n"], "left_semi").select(
-        "doc", "crc", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")
+        "doc", "mark", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")
     )
     # One of each group of equal contexts stands for them in the comparison.
     open_runs = alike.where("of_key > of_whole").select("key", "n", "of_key", "first.*")
-    asked = open_runs.groupBy("doc", "crc").agg(
+    asked = open_runs.groupBy("doc", "mark").agg(
         F.collect_list(F.struct("key", "lo", "n", (F.col("of_key") > hot).alias("hot"))).alias("runs")
     )
-    texts = docs.withColumn("crc", F.crc32(F.col("text").cast("binary")))
+    texts = docs.withColumn("mark", F.xxhash64("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in batches_of(whole, "text", 4 << 20):
                 out: list[tuple] = []
-                for doc, crc, text, runs_of in zip(*(batch.column(c).to_pylist() for c in ("doc", "crc", "text", "runs")), strict=True):
+                for doc, mark, text, runs_of in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark", "text", "runs")), strict=True):
                     raw = text.encode("utf-8", "replace")
                     for r in runs_of:
                         context = raw[r["lo"] : r["lo"] + r["n"] + length - 1]
                         left = _anchor_in(context, gram, length)
-                        out.append((r["key"], doc, crc, r["lo"], left, context, r["hot"]))
+                        out.append((r["key"], doc, mark, r["lo"], left, context, r["hot"]))
                 columns = list(zip(*out, strict=True)) or [[]] * 7
                 kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["key", "doc", "crc", "lo", "left", "bytes", "hot"],
+                    ["key", "doc", "mark", "lo", "left", "bytes", "hot"],
                 )
 
-    contexts = stored(texts.join(asked, ["doc", "crc"]).select("doc", "crc", "text", "runs").mapInArrow(cut, _CONTEXTS + ", hot boolean"), "contexts")
+    contexts = stored(texts.join(asked, ["doc", "mark"]).select("doc", "mark", "text", "runs").mapInArrow(cut, _CONTEXTS + ", hot boolean"), "contexts")
     ordered = contexts.where("not hot").repartition("key").sortWithinPartitions("key", "doc", "lo")
     compared = ordered.drop("hot").mapInArrow(lambda b: _compare(b, length, at_once), _FOUND)
     # Anchors with more contexts than a task should hold: each string by its own hash, which is as
     # exact and has no group larger than the repeats of one string.
-    single = contexts.where("hot").drop("hot").mapInArrow(lambda b: _strings(b, length), "digest binary, doc long, crc long, lo int")
+    single = contexts.where("hot").drop("hot").mapInArrow(lambda b: _strings(b, length), "digest binary, doc long, mark long, lo int")
     counts = single.groupBy("digest").count().where("count > 1").select("digest")
-    hot_ones = single.join(counts, "digest", "left_semi").select("doc", "crc", "lo", F.col("lo").alias("hi"))
+    hot_ones = single.join(counts, "digest", "left_semi").select("doc", "mark", "lo", F.col("lo").alias("hi"))
     return entire.union(compared).union(hot_ones)
 
 
@@ -302,12 +307,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, at_once:
     Removes each UTF-8 byte covered by a string of ``length`` bytes that also starts anywhere else,
     in any row or the same one; overlaps count, all strings are judged on the input. Strings don't
     cross rows. A null text is empty; texts shorter than ``length`` stay whole. Rows of one doc_id are
-    told apart by their texts, and equal rows are repeats of each other. Rows of a null doc_id are
-    treated alike. An empty table gives no rows; other columns are not read.
+    told apart by 64 bits of a hash of their texts, rows of a null doc_id by 128; equal rows are repeats
+    of each other. An empty table gives no rows; other columns are not read.
     """
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), text_or_empty().alias("text"))
+    # A row without an id goes by a second hash of its text, so that two such rows differ in 128 bits.
+    doc = F.coalesce("doc_id", F.xxhash64(F.lit(1), text_or_empty()))
+    rows = docs.select("doc_id", doc.alias("doc"), text_or_empty().alias("text"))
     found = repeated_strings(rows.select("doc", "text"), length, gram, at_once, hot)
-    spans = found.groupBy("doc", "crc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = found.groupBy("doc", "mark").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -331,9 +338,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, at_once:
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
                 )
 
-    texts = rows.withColumn("crc", F.crc32(F.col("text").cast("binary")))
+    texts = rows.withColumn("mark", F.xxhash64("text"))
     return (
-        texts.join(spans, ["doc", "crc"], "left")
+        texts.join(spans, ["doc", "mark"], "left")
         .select("doc_id", "text", "spans")
         .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )

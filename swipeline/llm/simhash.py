@@ -150,11 +150,11 @@ def _keyed(classes: DataFrame) -> DataFrame:
             for at in range(0, len(row), 50_000):
                 some = pa.array(row[at : at + 50_000])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[at : at + 50_000])] + [batch.column(c).take(some) for c in ("fp", "rep", "part")],
-                    ["key", "fp", "rep", "part"],
+                    [pa.array(key[at : at + 50_000])] + [batch.column(c).take(some) for c in ("fp", "part")],
+                    ["key", "fp", "part"],
                 )
 
-    return classes.select("fp", "rep", "part").mapInArrow(run, "key long, fp long, rep long, part long")
+    return classes.select("fp", "part").mapInArrow(run, "key long, fp long, part long")
 
 
 def _near(a: str, b: str) -> Column:
@@ -172,18 +172,17 @@ def _stars(classes: DataFrame) -> DataFrame:
         F.lit(1 << 40) + F.shiftrightunsigned("fp", 23).bitwiseAND(_WORD),
         F.lit(2 << 40) + F.shiftrightunsigned("fp", 46).bitwiseAND(_REST),
     )
-    rows = classes.select("fp", "rep", F.explode(segments).alias("segment"))
-    hubs = rows.groupBy("segment").agg(F.min_by("fp", "rep").alias("hub_fp"), F.min("rep").alias("hub"))
-    return rows.join(hubs, "segment").where((F.col("rep") != F.col("hub")) & _near("fp", "hub_fp")).select("rep", "hub")
+    rows = classes.select("fp", F.explode(segments).alias("segment"))
+    hubs = rows.groupBy("segment").agg(F.min("fp").alias("hub"))
+    return rows.join(hubs, "segment").where((F.col("fp") != F.col("hub")) & _near("fp", "hub")).select("fp", "hub")
 
 
 def link(classes: DataFrame) -> DataFrame:
-    """(fp, component): ``classes`` has distinct ``fp`` and their smallest doc_id ``rep``.
-
-    Every pair of fingerprints within four bits ends in one component.
+    """(fp, component): every pair of the distinct fingerprints ``fp`` within four bits ends in one
+    component, named by its least fingerprint.
     """
-    stars = components(_stars(classes), "rep", "hub")
-    parts = stored(_relabel(classes.withColumn("part", F.col("rep")), stars), "parts")
+    stars = components(_stars(classes), "fp", "hub")
+    parts = stored(_relabel(classes.select("fp", F.col("fp").alias("part")), stars), "parts")
     keyed = _keyed(parts)
     a, b = keyed.alias("a"), keyed.alias("b")
     # Classes already in one part need no further link; the rest of the condition is the comparison
@@ -196,7 +195,7 @@ def link(classes: DataFrame) -> DataFrame:
 
 def _relabel(parts: DataFrame, found: DataFrame) -> DataFrame:
     return parts.join(found, parts["part"] == found["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "part").alias("part")
+        "fp", F.coalesce("component", "part").alias("part")
     )
 
 
@@ -207,13 +206,15 @@ def simhash_groups(docs: DataFrame, shingle: int = 4) -> DataFrame:
     joined by a space, repeats included; a text of fewer words is one shingle. Bits set in over half
     of the XXH64 values (seed 42) are set. A text without words, also a null, has fingerprint zero
     and is linked like any other. Rows link where fingerprints differ in at most four bits;
-    component_id is the smallest doc_id reachable, so repeated rows fall together. Rows of a null
-    doc_id are linked by their fingerprint too; a component without any id has a null one. An empty
-    table gives no rows; further columns are not read.
+    component_id is the smallest doc_id reachable, so repeated rows fall together. Fingerprints are
+    what is linked, so rows of a null doc_id link and bridge like others, and rows of one doc_id with
+    unlike texts stay apart unless linked; a component without any id has a null one. An empty table
+    gives no rows; texts of any length are read whole; further columns are not read.
     """
     rows = stored(fingerprints(docs, shingle), "fingerprints")
-    classes = rows.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    linked = link(stored(classes, "classes"))
-    return rows.join(linked, "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
+    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    linked = stored(link(classes), "linked")
+    named = classes.join(linked, "fp").groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows.join(linked.join(named, "component"), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

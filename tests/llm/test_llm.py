@@ -16,7 +16,7 @@ import xxhash
 import corpus_pipeline
 from swipeline.llm import language, mixing, packing, personal, repeats, simhash, urls, vectors, wordpiece
 from swipeline.llm.common import components, numbered
-from swipeline.llm.exact import exact_dedup, halves
+from swipeline.llm.exact import build_index, classes_of, digests, exact_dedup, halves, merge
 from swipeline.llm.queries import ORACLES, QUERIES, tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, component string"
@@ -307,6 +307,20 @@ def test_simhash_groups_equal_brute_force(docs, empty, spark):
     assert simhash.simhash_groups(empty).count() == 0
 
 
+def test_simhash_links_rows_without_an_id_and_parts_rows_of_one_id(spark):
+    rng = random.Random(5)
+    base, other = words(rng, 400).split(), words(rng, 300)
+    near = [" ".join(base), " ".join(["Q1"] + base[1:]), " ".join(base[:-1] + ["Q2"])]
+    a, b, c = simhash.fingerprints_of(near)
+    assert 0 < int(a ^ b).bit_count() <= 4 and 0 < int(a ^ c).bit_count() <= 4
+    rows = [(7, near[1]), (None, near[0]), (5, near[2]), (5, other), (None, "alone in its kind, without any id")]
+    got = simhash.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_text = {f"{int(fp):016x}": i for i, fp in enumerate(simhash.fingerprints_of([t for _, t in rows]))}
+    assert {by_text[r["fingerprint"]]: (r["doc_id"], r["component_id"]) for r in got} == {
+        0: (7, 5), 1: (None, 5), 2: (5, 5), 3: (5, 5), 4: (None, None)
+    }
+
+
 def test_golay_keys_meet_within_four_bits():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**64, 4000, dtype=np.uint64)
@@ -339,6 +353,37 @@ def test_repeats_equal_brute_force(docs, empty, hot):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def equal_crc_tail(text, crc):
+    """48 letters b and c that give ``text`` the CRC-32: a sum of the changes that single letters make."""
+    plain = zlib.crc32((text + "b" * 48).encode())
+    basis: dict = {}
+    for i in range(48):
+        change, places = zlib.crc32((text + "b" * i + "c" + "b" * (47 - i)).encode()) ^ plain, 1 << i
+        while change and change.bit_length() in basis:
+            change, places = change ^ basis[change.bit_length()][0], places ^ basis[change.bit_length()][1]
+        if change:
+            basis[change.bit_length()] = (change, places)
+    left, chosen = crc ^ plain, 0
+    while left:
+        change, places = basis[left.bit_length()]
+        left, chosen = left ^ change, chosen ^ places
+    return "".join("bc"[chosen >> i & 1] for i in range(48))
+
+
+def test_repeats_tell_rows_without_an_id_apart(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    twice, once = ("".join(rng.choices(letters, k=270)) + " " for _ in range(2))
+    once += equal_crc_tail(once, zlib.crc32((twice + "b" * 48).encode()))
+    twice += "b" * 48
+    assert zlib.crc32(once.encode()) == zlib.crc32(twice.encode())
+    rows = [(None, twice), (1, twice), (None, once), (None, None), (None, "short")]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in got) == [
+        (0, 0, 0), (0, 5, 0), (0, 319, 0), (0, 319, 319), (1, 319, 319)
+    ]
+
+
 def test_urls_by_day(spark):
     pages = spark.createDataFrame(
         [(1, "http://WWW.a.b.example.com:80/x", "2024-01-05"), (2, "https://u@b.example.com", "2024-01-15"), (3, "//example.com", "2024-01-05"), (4, None, "2024-01-05"), (5, "nohost", "2024-01-05"), (6, "http://b.example.com/", None)],
@@ -370,6 +415,17 @@ def test_exact_classes(docs, empty):
     assert exact_dedup(*halves(empty)).count() == 0
 
 
+def test_exact_buckets_follow_both_sides_and_halves_the_rows(spark):
+    far = spark.range(1000).selectExpr("if(id = 0, -1000000000000, id) AS doc_id", "string(id % 700) AS text")
+    history, incoming = halves(far)
+    assert 400 <= history.count() <= 600
+    classes = classes_of(digests(far))
+    index, buckets = build_index(classes.limit(0), classes.count(), per_bucket=100)
+    assert buckets == 7
+    got = {(r["digest"], r["keep_id"], r["group_size"]) for r in merge(index, buckets, classes).collect()}
+    assert got == {(r["digest"], r["keep_id"], r["group_size"]) for r in classes.collect()} and len(got) == 700
+
+
 def test_language_on_held_out_documents(spark, docs, empty):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify(table, language.fit(table)).where("held_out").join(table.select("doc_id", "lang"), "doc_id").collect()
