@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from swipeline.operators import quality, reports, validation
 from swipeline.schemas import optional
 from swipeline.session import ObjectStore, open_session
-from swipeline.sources.landing import parsed, read_landing, read_landing_lines
+from swipeline.sources.landing import read_landing
+from swipeline.sources.staging import Staged, staged
 from swipeline.sources.tables import read_dimension, read_table, write_date, write_processed
 from swipeline.sources.zones import Zones
 
@@ -61,33 +62,42 @@ REPORTS: dict[str, Callable[..., dict[str, DataFrame]]] = {
 def run_job(spark: SparkSession, name: str, date: str, zones: Zones, **params) -> dict[str, dict[str, int]]:
     """Compute the reports of one job and write them to their date partition.
 
-    Returns the observed row counts per output table, with ``flagged`` where a report has flags. A
-    date that has not landed is an error and leaves what is stored alone.
+    Returns the observed row counts per output table, with ``flagged`` where a report has flags, and
+    those of the corrupt lines that it stored. A date that has not landed is an error and leaves what is
+    stored alone.
     """
-    txns = read_landing(spark, zones, date=date, required=True)
-    counts = {}
-    for dataset, report in REPORTS[name](spark, txns, zones, date, params).items():
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if "is_flagged" in report.columns:
-            metrics.append(F.count_if("is_flagged").alias("flagged"))
-        seen = Observation(dataset)
-        write_date(report.observe(seen, *metrics), zones, "analytics", dataset, date)
-        counts[dataset] = dict(seen.get)
-        log.info("%s for %s written to %s: %s", name, date, dataset, counts[dataset])
+    with staged(spark, zones, date, required=True) as lines:
+        counts = {CORRUPT_LINES: _store_corrupt(lines, zones, date, name)}
+        for dataset, report in REPORTS[name](spark, lines.transactions, zones, date, params).items():
+            metrics = [F.count(F.lit(1)).alias("rows")]
+            if "is_flagged" in report.columns:
+                metrics.append(F.count_if("is_flagged").alias("flagged"))
+            seen = Observation(dataset)
+            write_date(report.observe(seen, *metrics), zones, "analytics", dataset, date)
+            counts[dataset] = dict(seen.get)
+            log.info("%s for %s written to %s: %s", name, date, dataset, counts[dataset])
     return counts
 
 
+def _store_corrupt(lines: Staged, zones: Zones, date: str, job: str) -> dict[str, int]:
+    """The corrupt lines that a job met, in a folder of its own, so that jobs of a date can run side by side."""
+    write_date(lines.corrupt.drop("date"), zones, "quality", CORRUPT_LINES, date, job=job)
+    if lines.counts["corrupt"]:
+        log.warning("%s for %s: %s of the lines are corrupt", job, date, lines.counts)
+    return {"rows": lines.counts["corrupt"]}
+
+
 def run_processed(spark: SparkSession, date: str, zones: Zones) -> None:
     """Landing to the processed zone for one date.
 
     Lines that do not parse and rows that break a rule are stored in the quality zone instead, the
     former as they came, the latter with the names of the rules.
     """
-    good, corrupt = parsed(read_landing_lines(spark, zones, date=date, required=True))
-    valid, broken = validation.split(validation.validate(good.drop("date", "hour")))
-    write_date(corrupt.drop("date"), zones, "quality", CORRUPT_LINES, date)
-    write_date(broken, zones, "quality", BROKEN_ROWS, date)
-    write_processed(valid, zones)
+    with staged(spark, zones, date, required=True) as lines:
+        valid, broken = validation.split(validation.validate(lines.transactions.drop("date", "hour")))
+        _store_corrupt(lines, zones, date, "processed")
+        write_date(broken, zones, "quality", BROKEN_ROWS, date)
+        write_processed(valid, zones)
 
 
 def run_quality(
@@ -95,17 +105,19 @@ def run_quality(
 ) -> None:
     """Check one date and store the results.
 
-    If the combined report cannot run, each check runs on its own and those that cannot run are
-    stored as failed.
+    If the combined report cannot run, each check runs on its own, over the landing zone itself, and
+    those that cannot run are stored as failed.
     """
     now = now or datetime.now(timezone.utc)
-    txns = read_landing(spark, zones, date=date)
     merchants = _merchants_or_none(spark, zones)
     try:
-        report = quality.quality_report(txns, date, now, merchants, max_age_hours)
-        write_date(report, zones, "quality", RESULTS, date)
+        with staged(spark, zones, date) as lines:
+            _store_corrupt(lines, zones, date, "quality")
+            report = quality.quality_report(lines.transactions, date, now, merchants, max_age_hours)
+            write_date(report, zones, "quality", RESULTS, date)
     except Exception:  # a broken input is a result, not a crash
         log.exception("combined quality report failed for %s, running the checks one by one", date)
+        txns = read_landing(spark, zones, date=date)
         results = _one_by_one(spark, quality.all_checks(txns, now, merchants, max_age_hours))
         write_date(quality.stamp(results, date, now), zones, "quality", RESULTS, date)
 

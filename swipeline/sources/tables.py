@@ -79,9 +79,13 @@ def write_table(
     writer.save(zones.path(zone, dataset))
 
 
-def write_date(df: DataFrame, zones: Zones, zone: str, dataset: str, date: str) -> None:
-    """Replace one ``processing_date`` folder by ``df``, also when ``df`` has no rows."""
-    folder = f"{zones.path(zone, dataset)}/processing_date={date}"
+def write_date(df: DataFrame, zones: Zones, zone: str, dataset: str, date: str, **parts: str) -> None:
+    """Replace one ``processing_date`` folder by ``df``, also when ``df`` has no rows.
+
+    ``parts`` name further folders below the date, of which only the given one is replaced.
+    """
+    below = "".join(f"/{name}={value}" for name, value in parts.items())
+    folder = f"{zones.path(zone, dataset)}/processing_date={date}{below}"
     df.drop("processing_date").write.mode("overwrite").parquet(folder)
 
 

@@ -8,6 +8,7 @@ import pytest
 from conftest import T0
 from swipeline.plans import jobs
 from swipeline.session import ObjectStore, open_session, profile
+from swipeline.sources import landing, staging
 from swipeline.sources.landing import read_landing, write_landing
 from swipeline.sources.tables import read_table
 from swipeline.sources.zones import Zones
@@ -109,6 +110,58 @@ def test_processed_job_keeps_what_it_rejects(spark, zones):
     assert broken.transaction_id == "y" and "required_field" in broken.failed_rules
 
 
+def test_each_job_parses_a_date_once(spark, zones, monkeypatch):
+    """What the jobs write comes from staged columns; only staging itself reads the landed lines."""
+    written, lines_read = [], []
+
+    def watched(write):
+        def run(df, *args, **kwargs):
+            written.append(df._jdf.queryExecution().toString())
+            return write(df, *args, **kwargs)
+
+        return run
+
+    def counted(*args, **kwargs):
+        lines_read.append(kwargs["date"])
+        return landing.read_landing_lines(*args, **kwargs)
+
+    monkeypatch.setattr(jobs, "write_date", watched(jobs.write_date))
+    monkeypatch.setattr(jobs, "write_processed", watched(jobs.write_processed))
+    monkeypatch.setattr(staging, "read_landing_lines", counted)
+    for job, outputs in (("merchants", 3), ("processed", 3), ("quality", 2)):
+        written.clear()
+        lines_read.clear()
+        if job == "merchants":
+            jobs.run_job(spark, job, DAY, zones)
+        elif job == "processed":
+            jobs.run_processed(spark, DAY, zones)
+        else:
+            jobs.run_quality(spark, DAY, zones, T0 + timedelta(hours=1))
+        assert lines_read == [DAY] and len(written) == outputs
+        assert not any("FileScan text" in plan for plan in written)
+        assert all("FileScan parquet" in plan for plan in written)
+    assert os.listdir(zones.path("checkpoints", "staged")) == []
+
+
+def test_report_jobs_store_their_corrupt_lines(spark, zones):
+    folder = f"{zones.landing}/transactions/date={DAY}/hour=11"
+    spark.createDataFrame([("{oops",), ("[]x",)], "value string").write.text(folder)
+    for job in ("settlement", "chargebacks"):
+        assert jobs.run_job(spark, job, DAY, zones)["corrupt_lines"] == {"rows": 2}
+    assert jobs.run_job(spark, "settlement", NEXT, zones)["corrupt_lines"] == {"rows": 0}
+    stored = read_table(spark, zones, "quality", jobs.CORRUPT_LINES).where("job = 'settlement'").collect()
+    assert sorted((r._corrupt_record, r.hour, str(r.processing_date)) for r in stored) == [("[]x", 11, DAY), ("{oops", 11, DAY)]
+
+
+def test_staged_lines_go_when_a_job_fails(spark, zones):
+    with pytest.raises(ValueError), staging.staged(spark, zones, DAY) as lines:
+        assert lines.counts == {"transactions": 2, "corrupt": 0} and lines.transactions.count() == 2
+        raise ValueError
+    assert os.listdir(zones.path("checkpoints", "staged")) == []
+    with staging.staged(spark, zones, "2031-01-01") as nothing:
+        assert nothing.counts == {"transactions": 0, "corrupt": 0} and nothing.transactions.count() == 0
+
+
 def test_a_session_keeps_what_was_submitted(spark):
     before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")}
     assert open_session(mode="streaming") is not None
