@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipeline.functions.columns import card_token
-from swipeline.operators import fraud, quality, reports, time_windows, validation
+from swipeline.operators import fraud, quality, reports, sketches, time_windows, validation
 from swipeline.plans.binding import banks, card_stream, ledger, merchants, places, table
 from swipeline.sources import kafka
 from swipeline.sources.landing import encode_json, for_landing, parse_json, parsed, read_landing, write_landing
 from swipeline.sources.tables import read_table, write_date, write_processed, write_table
 from swipeline.sources.zones import Zones, scratch_dir
 from swipeline.streaming import sinks
+from swipeline.streaming.closing import close_finished, current_totals
 from swipeline.streaming.replay import once_each
 from swipeline.streaming.sources import table_stream
 from swipeline.streaming.state import card_alerts
@@ -85,6 +86,31 @@ def chargeback_ratios(spark, sf_dir):
     )
 
 
+@query
+def distinct_sketches(spark, sf_dir):
+    """Sketches stored by year, united over all years, beside the exact counts of the whole.
+
+    ``cards_ok`` and ``merchants_ok`` say that an estimate is within four standard errors.
+    """
+    zones, df = Zones.under(scratch_dir(spark, "sketches")), ledger(spark, sf_dir)
+    keys, counted = ("merchant_category_code", "currency"), ("card_hash", "merchant_id")
+    yearly = sketches.distinct_sketches(df.withColumn("year", F.year("timestamp")), (*keys, "year"), counted)
+    write_table(yearly, zones, "analytics", "yearly", ["year"])
+    stored = read_table(spark, zones, "analytics", "yearly")
+    united = sketches.with_estimates(sketches.unite_sketches(stored, keys))
+    exact = df.groupBy(*keys).agg(*[F.countDistinct(name).alias(f"unique_{name}") for name in counted])
+
+    def close(name):
+        gap = F.abs(F.col(f"approx_{name}") - F.col(f"unique_{name}"))
+        return gap <= 4 * sketches.standard_error() * F.col(f"unique_{name}")
+
+    return united.join(exact, list(keys)).select(
+        *keys, "txn_count", F.col("unique_card_hash").alias("unique_cards"),
+        F.col("unique_merchant_id").alias("unique_merchants"),
+        close("card_hash").alias("cards_ok"), close("merchant_id").alias("merchants_ok"),
+    )
+
+
 # Fraud
 
 
@@ -363,13 +389,12 @@ def settlement_roundtrip(spark, sf_dir):
     )
 
 
-@query
-def validate_rows(spark, sf_dir):
+def _with_odd_rows(df):
     """Codes cut from names in lower case, some too long, and the sign dropped on refunds."""
     country = F.when(F.col("transaction_type") == "p2p", F.lower(F.substring("country_code", 1, 3))).otherwise(
         F.lower(F.substring("country_code", 1, 2))
     )
-    raw = card_stream(spark, sf_dir).withColumns(
+    return df.withColumns(
         {
             "currency": F.lower(F.substring("currency", 1, 3)),
             "country_code": country,
@@ -379,13 +404,21 @@ def validate_rows(spark, sf_dir):
             "amount": F.when(F.col("transaction_type") == "refund", -F.col("amount")).otherwise(F.col("amount")),
         }
     )
-    valid, quarantined = validation.split(validation.validate(raw))
+
+
+def _both_sides(valid, quarantined):
     columns = ["transaction_id", "currency", "country_code", "amount"]
     return valid.select(*columns, F.lit("").alias("failed_rules")).unionByName(
         quarantined.select(*columns, F.concat_ws("|", "failed_rules").alias("failed_rules"))
     )
 
 
+@query
+def validate_rows(spark, sf_dir):
+    raw = _with_odd_rows(card_stream(spark, sf_dir))
+    return _both_sides(*validation.split(validation.validate(raw)))
+
+
 @query
 def response_breakdown(spark, sf_dir):
     return validation.response_breakdown(ledger(spark, sf_dir))
@@ -450,6 +483,30 @@ def stream_card_daily(spark, sf_dir):
     return sinks.latest_totals(spark, path)
 
 
+@query
+def stream_card_closed(spark, sf_dir):
+    """Close the dates before two marks, the first of which then lose their batch folders; read all."""
+    path = _drain(
+        spark,
+        sf_dir,
+        lambda s, path, cp: sinks.running_totals(time_windows.card_daily_totals(s), path, cp, sinks.ONCE),
+    )
+    closed = f"{path}-closed"
+    for mark in ("2024-01-10", DATE):
+        close_finished(spark, path, closed, mark)
+    return current_totals(spark, path, closed)
+
+
+@query
+def stream_validated(spark, sf_dir):
+    """Split a stream by the validation rules into two tables."""
+    sides = [
+        _appended(spark, sf_dir, lambda s, side=side: validation.split(validation.validate(_with_odd_rows(s)))[side])
+        for side in (0, 1)
+    ]
+    return _both_sides(*sides)
+
+
 @query
 def stream_fraud_batches(spark, sf_dir):
     path = _drain(spark, sf_dir, lambda s, path, cp: sinks.score_batches(s, path, cp, sinks.ONCE, TUNED))

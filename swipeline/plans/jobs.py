@@ -14,9 +14,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from swipeline.operators import quality, reports, validation
+from swipeline.operators import quality, reports, sketches, validation
 from swipeline.schemas import optional
 from swipeline.session import ObjectStore, open_session
+from swipeline.sources import kafka
 from swipeline.sources.landing import read_landing
 from swipeline.sources.staging import Staged, staged
 from swipeline.sources.tables import read_dimension, read_table, write_date, write_processed
@@ -51,11 +52,16 @@ def _chargebacks(spark, txns, zones, date, params):
     return {"chargeback_ratios": reports.chargeback_ratios(txns, dimension, date, **params)}
 
 
+def _sketches(spark, txns, zones, date, params):
+    return {"merchant_sketches": sketches.merchant_sketches(txns), "mcc_sketches": sketches.mcc_sketches(txns)}
+
+
 REPORTS: dict[str, Callable[..., dict[str, DataFrame]]] = {
     "settlement": _settlement,
     "merchants": _merchants,
     "corridors": _corridors,
     "chargebacks": _chargebacks,
+    "sketches": _sketches,
 }
 
 
@@ -100,6 +106,18 @@ def run_processed(spark: SparkSession, date: str, zones: Zones) -> None:
         write_processed(valid, zones)
 
 
+def run_publish(spark: SparkSession, date: str, zones: Zones, servers: str, topic: str) -> int:
+    """Send the transactions of one date to a topic, keyed by card; returns how many.
+
+    Corrupt lines are stored, not sent. A rerun sends all again: a topic has no partition to replace, and
+    ``run_streams.py land`` takes each transaction once.
+    """
+    with staged(spark, zones, date, required=True) as lines:
+        _store_corrupt(lines, zones, date, "publish")
+        kafka.write(lines.transactions.drop("date", "hour"), servers, topic)
+    return lines.counts["transactions"]
+
+
 def run_quality(
     spark: SparkSession, date: str, zones: Zones, now: datetime | None = None, max_age_hours: float = 2.0
 ) -> None:
@@ -155,13 +173,16 @@ def gate_passed(spark: SparkSession, date: str, zones: Zones) -> bool:
 def main(argv: list[str] | None = None) -> int:
     """Command line of the jobs; the exit code is 1 when the gate is closed."""
     parser = argparse.ArgumentParser(description="Run one batch job")
-    parser.add_argument("job", choices=[*REPORTS, "processed", "quality", "gate"])
+    parser.add_argument("job", choices=[*REPORTS, "processed", "quality", "publish", "gate"])
     parser.add_argument("--date", required=True, help="processing date, YYYY-MM-DD")
     parser.add_argument("--threshold", type=float, default=0.02, help="chargeback ratio that flags a merchant")
     parser.add_argument("--max-age-hours", type=float, default=2.0, help="age at which data is stale")
     parser.add_argument("--shuffle-partitions", type=int, help="default: the cluster's setting")
     args = parser.parse_args(argv)
     logging.basicConfig(level=os.environ.get("LOG_LEVEL", "INFO"))
+    servers = os.environ.get("KAFKA_BOOTSTRAP_SERVERS")
+    if args.job == "publish" and not servers:
+        parser.error("publishing needs KAFKA_BOOTSTRAP_SERVERS")
     store = ObjectStore.from_env(os.environ)
     spark = open_session(f"swipeline-{args.job}", shuffle_partitions=args.shuffle_partitions, store=store)
     zones = Zones.from_env(os.environ)
@@ -171,6 +192,9 @@ def main(argv: list[str] | None = None) -> int:
         run_quality(spark, args.date, zones, max_age_hours=args.max_age_hours)
     elif args.job == "processed":
         run_processed(spark, args.date, zones)
+    elif args.job == "publish":
+        topic = os.environ.get("KAFKA_TOPIC_TRANSACTIONS", kafka.TOPIC)
+        log.info("%s transactions of %s sent to %s", run_publish(spark, args.date, zones, servers, topic), args.date, topic)
     else:
         params = {"threshold": args.threshold} if args.job == "chargebacks" else {}
         run_job(spark, args.job, args.date, zones, **params)

@@ -219,6 +219,21 @@ apart AS (
     ON a.card_hash = b.card_hash AND a.id <> b.id AND a.country <> b.country AND b.at BETWEEN a.at - 3600 AND a.at
 )"""
 
+_VALIDATED = """,
+raw AS (
+  SELECT transaction_id, upper(currency[1:3]) AS currency, transaction_type,
+    upper(country_code[1:(CASE WHEN transaction_type = 'p2p' THEN 3 ELSE 2 END)]) AS country_code,
+    CASE WHEN response_code = '00' THEN merchant_category_code ELSE '51' END AS mcc,
+    CASE WHEN transaction_type = 'refund' THEN -amount ELSE amount END AS amount
+  FROM txn
+)
+SELECT transaction_id, currency, country_code, amount,
+  concat_ws('|', CASE WHEN length(mcc) <> 4 THEN 'mcc_format' END,
+    CASE WHEN length(country_code) <> 2 THEN 'country_format' END,
+    CASE WHEN (transaction_type IN ('purchase', 'p2p') AND amount <= 0)
+           OR (transaction_type IN ('refund', 'chargeback') AND amount >= 0) THEN 'amount_sign' END) AS failed_rules
+FROM raw"""
+
 ORACLES: dict[str, str] = {
     "fraud_geo_gaps": f"""{STREAM}{_ABSENT}
 SELECT event, card_hash, card_hash IN (SELECT card_hash FROM apart) AS geo_hit,
@@ -239,6 +254,10 @@ SELECT merchant_id, count(*) AS total_txns, count(*) FILTER (transaction_type =
   count(DISTINCT card_hash) AS unique_cards, min_by(merchant_category_code, transaction_id) AS merchant_category_code,
   '2024-01-15' AS processing_date
 FROM txn GROUP BY merchant_id""",
+    "distinct_sketches": f"""{LEDGER}
+SELECT merchant_category_code, currency, count(*) AS txn_count, count(DISTINCT card_hash) AS unique_cards,
+  count(DISTINCT merchant_id) AS unique_merchants, true AS cards_ok, true AS merchants_ok
+FROM txn GROUP BY merchant_category_code, currency""",
     "corridor_volume": f"""{LEDGER}
 SELECT issuer_country, country_code AS merchant_country, currency,
   issuer_country || '→' || country_code AS corridor, count(*) AS txn_count,
@@ -343,20 +362,8 @@ dated AS (
   SELECT *, CASE WHEN "timestamp" < TIMESTAMP '2000-01-01' THEN '2024-01-15' ELSE '2024-01-16' END AS processing_date
   FROM txn
 ) {_SETTLEMENT}""",
-    "validate_rows": f"""{STREAM},
-raw AS (
-  SELECT transaction_id, upper(currency[1:3]) AS currency, transaction_type,
-    upper(country_code[1:(CASE WHEN transaction_type = 'p2p' THEN 3 ELSE 2 END)]) AS country_code,
-    CASE WHEN response_code = '00' THEN merchant_category_code ELSE '51' END AS mcc,
-    CASE WHEN transaction_type = 'refund' THEN -amount ELSE amount END AS amount
-  FROM txn
-)
-SELECT transaction_id, currency, country_code, amount,
-  concat_ws('|', CASE WHEN length(mcc) <> 4 THEN 'mcc_format' END,
-    CASE WHEN length(country_code) <> 2 THEN 'country_format' END,
-    CASE WHEN (transaction_type IN ('purchase', 'p2p') AND amount <= 0)
-           OR (transaction_type IN ('refund', 'chargeback') AND amount >= 0) THEN 'amount_sign' END) AS failed_rules
-FROM raw""",
+    "validate_rows": STREAM + _VALIDATED,
+    "stream_validated": STREAM + _VALIDATED,
     "response_breakdown": f"""{LEDGER}
 SELECT response_code, CASE response_code WHEN '00' THEN 'APPROVED' WHEN '51' THEN 'INSUFFICIENT_FUNDS' END
   AS response_label, response_code = '00' AS is_approved, count(*) AS txn_count,
@@ -372,6 +379,7 @@ SELECT * FROM ratios WHERE window_end <= (SELECT max("timestamp") FROM txn) - IN
     "stream_issuer_xborder_50_20": f"""{STREAM}, {_XBORDER_50_20}
 SELECT * FROM ratios WHERE window_end <= (SELECT max("timestamp") FROM txn) - INTERVAL '15 minutes'""",
     "stream_card_daily": STREAM + _CARD_DAILY,
+    "stream_card_closed": STREAM + _CARD_DAILY,
     "stream_fraud_batches": f"""{_SCORED}
 SELECT transaction_id, card_hash, transaction_type, fraud_reasons FROM scored WHERE is_fraud_flagged""",
     "stream_card_alerts": f"""{STREAM},

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from swipeline.sources.landing import encode_json, parse_json
 
 ARRIVED = "arrived_at"
+TOPIC = "payment.transactions.raw"
 
 
 def source_options(servers: str, topic: str, starting_offsets: str = "latest") -> dict[str, str]:

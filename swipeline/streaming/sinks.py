@@ -103,7 +103,7 @@ def running_totals(
 
 def latest_totals(spark: SparkSession, path: str, keys: tuple[str, ...] = ("card_hash", "date")) -> DataFrame:
     """Per key the values of the last batch that changed it."""
-    return _latest(spark.read.parquet(path), keys)
+    return latest_of(spark.read.parquet(path), keys)
 
 
 def close_date(
@@ -115,12 +115,12 @@ def close_date(
     after a failure, gives the same rows; the changes below ``path`` are left alone. A date without
     changes leaves the table as it is.
     """
-    final = _latest(spark.read.parquet(path).where(F.col("date") == F.lit(date).cast("date")), keys)
+    final = latest_of(spark.read.parquet(path).where(F.col("date") == F.lit(date).cast("date")), keys)
     writer = final.repartition("date", *keys[:1]).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(closed)
 
 
-def _latest(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def latest_of(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     values = [c for c in changes.columns if c not in (*keys, "batch_id")]
     return (
         changes.groupBy(*keys)

@@ -8,7 +8,7 @@ import pytest
 from conftest import T0
 from swipeline.plans import jobs
 from swipeline.session import ObjectStore, open_session, profile
-from swipeline.sources import landing, staging
+from swipeline.sources import kafka, landing, staging
 from swipeline.sources.landing import read_landing, write_landing
 from swipeline.sources.tables import read_table
 from swipeline.sources.zones import Zones
@@ -48,6 +48,7 @@ def zones(spark, txns, scratch):
         ("merchants", ["mcc_spending", "merchant_summary"]),
         ("corridors", ["cross_border_corridors"]),
         ("chargebacks", ["chargeback_ratios"]),
+        ("sketches", ["merchant_sketches", "mcc_sketches"]),
     ],
 )
 def test_reports_per_date(spark, zones, job, tables):
@@ -183,6 +184,24 @@ def test_command_line(spark, zones, monkeypatch):
         jobs.main(["other", "--date", DAY])
 
 
+def test_publishing_sends_the_transactions_of_a_date(spark, zones, monkeypatch):
+    sent = []
+    monkeypatch.setattr(jobs.kafka, "write", lambda df, servers, topic: sent.append((kafka.encode(df).collect(), servers, topic)))
+    spark.createDataFrame([("{oops",)], "value string").write.text(f"{zones.landing}/transactions/date={DAY}/hour=09")
+    assert jobs.run_publish(spark, DAY, zones, "host:1", "topic") == 2
+    [(messages, servers, topic)] = sent
+    assert (servers, topic, {m.key for m in messages}) == ("host:1", "topic", {"abc123"})
+    landed = read_landing(spark, zones, date=DAY).drop("date", "hour")
+    texts = spark.createDataFrame([(m.value,) for m in messages], "value string")
+    again = landing.parsed(landing.parse_json(texts))[0]
+    assert sorted(map(str, again.collect())) == sorted(map(str, landed.collect()))
+    lost = read_table(spark, zones, "quality", jobs.CORRUPT_LINES).where("job = 'publish'")
+    assert [r[0] for r in lost.select("_corrupt_record").collect()] == ["{oops"]
+    monkeypatch.delenv("KAFKA_BOOTSTRAP_SERVERS", raising=False)
+    with pytest.raises(SystemExit):
+        jobs.main(["publish", "--date", DAY])
+
+
 def test_profiles():
     store_key = "spark.sql.streaming.stateStore.providerClass"
     assert store_key in profile("streaming") and store_key not in profile("batch")

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from conftest import T0
 from swipeline.operators.fraud import FraudConfig, apply_all_fraud_rules, flag_amount_anomaly, flag_velocity
 from swipeline.operators.time_windows import card_daily_totals, issuer_cross_border_ratio, merchant_volume
+from swipeline.operators.validation import split, validate
 from swipeline.schemas import TRANSACTION, optional
 from swipeline.sources import kafka
 from swipeline.sources.landing import committed, for_landing, parsed, read_landing, write_landing, write_owned
 from swipeline.sources.zones import Zones
 from swipeline.streaming import app
+from swipeline.streaming.closing import close_finished, current_totals, final_before, open_since
 from swipeline.streaming.progress import ProgressTable, late_rows
 from swipeline.streaming.replay import once_each
 from swipeline.streaming.sinks import (
@@ -117,6 +119,117 @@ def test_a_closed_date_holds_its_latest_totals_and_a_rerun_changes_nothing(spark
     assert rows_of(got) == rows_of(expected)
 
 
+def closing_case(spark, txns, scratch, files=4):
+    rows = [*traffic(), *[{**LAST, "transaction_id": f"z{i}", "timestamp": T0 + timedelta(days=i)} for i in (1, 2, 3)]]
+    feed(txns, f"{scratch}/in", rows, files)
+    running_totals(
+        card_daily_totals(stream(spark, f"{scratch}/in")), f"{scratch}/out", f"{scratch}/cp", ONCE, app.CARDS
+    ).awaitTermination()
+    return rows_of(card_daily_totals(txns(*rows)))
+
+
+def folders(path, before):
+    batches = [name for name in os.listdir(path) if name.startswith("batch_id=")]
+    days = [name for batch in batches for name in os.listdir(f"{path}/{batch}") if name.startswith("date=")]
+    return [day for day in days if day < f"date={before}"]
+
+
+def test_closing_moves_finished_dates_and_retires_their_folders(spark, txns, scratch):
+    expected = closing_case(spark, txns, scratch)
+    out, closed = f"{scratch}/out", f"{scratch}/closed"
+    assert open_since(spark, closed) is None
+    assert rows_of(current_totals(spark, out, closed)) == expected
+    for mark in ("2024-01-16", "2024-01-16", "2024-01-15", "2024-01-17", "2024-01-19", "2024-01-20"):
+        before = open_since(spark, closed)
+        close_finished(spark, out, closed, mark)
+        assert rows_of(current_totals(spark, out, closed)) == expected
+        assert not folders(out, before or "")
+    assert open_since(spark, closed) == "2024-01-20"
+    # All dates are closed and all batches gone: the totals no longer need the folders.
+    assert [name for name in os.listdir(out) if name.startswith("batch_id=")] == []
+
+
+def test_a_closed_date_is_read_from_its_own_files_only(spark, txns, scratch):
+    closing_case(spark, txns, scratch, files=8)
+    out, closed = f"{scratch}/out", f"{scratch}/closed"
+    close_finished(spark, out, closed, "2024-01-16")
+    day = current_totals(spark, out, closed).where("date = date'2024-01-15'")
+    assert day.count() and all("/closed/date=2024-01-15/" in name for name in day.select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+
+
+@pytest.mark.parametrize("crash", ["table", "mark", "folders"])
+def test_a_closing_that_stops_midway_loses_nothing(spark, txns, scratch, monkeypatch, crash):
+    from swipeline.streaming import closing
+
+    expected = closing_case(spark, txns, scratch)
+    out, closed = f"{scratch}/out", f"{scratch}/closed"
+    close_finished(spark, out, closed, "2024-01-16")
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        if crash == "folders":
+            remove = closing._remove_folders
+            patch.setattr(closing, "_remove_folders", lambda *a: (remove(*a), stop()))
+        elif crash == "table":
+            patch.setattr(closing, "latest_of", stop)
+        else:
+            patch.setattr(type(spark), "createDataFrame", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            close_finished(spark, out, closed, "2024-01-18")
+    assert open_since(spark, closed) == "2024-01-16"
+    assert rows_of(current_totals(spark, out, closed)) == expected
+    close_finished(spark, out, closed, "2024-01-18")
+    assert open_since(spark, closed) == "2024-01-18"
+    assert rows_of(current_totals(spark, out, closed)) == expected
+
+
+def test_a_replayed_batch_does_not_reopen_a_closed_date(spark, txns, scratch):
+    expected = closing_case(spark, txns, scratch)
+    out, closed = f"{scratch}/out", f"{scratch}/closed"
+    close_finished(spark, out, closed, "2024-01-16")
+    close_finished(spark, out, closed, "2024-01-17")
+    stale = card_daily_totals(txns({**LAST, "timestamp": T0})).withColumn("batch_id", F.lit(99))
+    stale.write.mode("append").partitionBy("batch_id", "date").parquet(out)
+    assert rows_of(current_totals(spark, out, closed)) == expected
+    close_finished(spark, out, closed, "2024-01-17")
+    assert not folders(out, "2024-01-16")
+
+
+def test_dates_close_by_the_watermark_of_their_stream(spark, txns, scratch):
+    zones = Zones.under(scratch)
+    assert app.close_dates(spark, zones) is None
+    listener = ProgressTable(spark, zones.path("quality", app.PROGRESS))
+    spark.streams.addListener(listener)
+    try:
+        rows = [*traffic(), *[{**LAST, "transaction_id": f"z{i}", "timestamp": T0 + timedelta(days=i)} for i in (1, 2, 3)]]
+        feed(txns, f"{scratch}/in", rows, 6)
+        place = zones.path("analytics", app.CARDS), zones.path("checkpoints", app.CARDS)
+        running_totals(card_daily_totals(stream(spark, f"{scratch}/in")), *place, ONCE, app.CARDS).awaitTermination()
+        wait_until = time.time() + 30
+        while time.time() < wait_until and final_before(spark, zones.path("quality", app.PROGRESS), app.CARDS) is None:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    mark = app.close_dates(spark, zones)
+    newest = str((T0 + timedelta(days=3)).date())
+    assert mark is not None and "2024-01-15" <= mark <= newest
+    got = current_totals(spark, place[0], zones.path("analytics", app.CLOSED))
+    assert rows_of(got) == rows_of(card_daily_totals(txns(*rows)))
+
+
+def test_broken_transactions_of_a_stream_are_stored_apart(spark, txns, scratch):
+    zones = Zones.under(scratch)
+    write_landing(txns({"currency": "usd"}, {"amount": -1}, {"merchant_id": None}), zones)
+    good, bad = split(validate(landing_stream(spark, zones, schema=optional(TRANSACTION))))
+    app.start_broken(bad, zones, ONCE).awaitTermination()
+    append_table(good, f"{scratch}/out", f"{scratch}/cp", ONCE).awaitTermination()
+    stored = spark.read.parquet(zones.path("quality", app.BROKEN)).select("transaction_id", "failed_rules")
+    assert sorted(map(tuple, stored.collect())) == [("t0001", ["amount_sign"]), ("t0002", ["required_field"])]
+    assert rows_of(spark.read.parquet(f"{scratch}/out")) == rows_of(txns({"currency": "USD"}))
+
+
 def test_late_rows_are_dropped_after_the_watermark(spark, txns, scratch):
     on_time = {"transaction_id": "a", "timestamp": T0}
     ahead = {"transaction_id": "b", "timestamp": T0 + timedelta(hours=1)}
