@@ -6,12 +6,16 @@ that differ in at most two bits share a key: if one is within 2 of its codeword,
 4 of it; if both are at distance 3 and share no codeword there, the block of weight 7 through the
 three error bits of one and a new bit of the other is within 4 of both.
 
-A fingerprint is cut into two words of 23 bits, S1 and S2, and a rest R of 18. Of four differing bits
+A fingerprint is cut into two words of 23 bits, S1 and S2, and a rest R of 18, itself of three parts of
+6 bits. Of four differing bits
 
 * if none lies in R, one of S1 and S2 has two or fewer: keys (R, key of S1) and (R, key of S2);
-* else S1 and S2 have three or fewer together: both have at most two, key (key of S1, key of S2), or
-  one of them has none, keys S1 and S2.
+* if one lies in R, two parts agree and S1 and S2 have three or fewer together: both have at most two, keys
+  (key of S1, key of S2, a part), or one of them has none, keys (S1, two parts) and (S2, two parts);
+* if two lie in R, a part agrees and S1 and S2 have at most two each: (key of S1, key of S2, a part);
+* else S1 and S2 have at most one together: keys (S1, key of S2) and (key of S1, S2).
 
+Every key has 30 bits or more, so chance meetings stay few: n fingerprints make about n^2 / 2^20 comparisons.
 So every pair within four bits meets under a key, and is then compared in full.
 """
 
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from swipeline.llm.common import batches_of, components, stored
 
 BITS = 4
-_WORD, _REST = (1 << 23) - 1, (1 << 18) - 1
+_WORD, _REST, _PART = (1 << 23) - 1, (1 << 18) - 1, 6
 #: Generator polynomial of the binary Golay code (fixed value).
 _GENERATOR = 0b101011100011
 
@@ -128,18 +132,26 @@ def keys_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rest = (fp >> np.uint64(46) & np.uint64(_REST)).astype(np.int64)
     k1, n1 = golay_keys(s1)
     k2, n2 = golay_keys(s2)
+    parts = [rest >> (_PART * i) & ((1 << _PART) - 1) for i in range(3)]
     row = np.arange(len(fp))
-    rows, keys = [row, row], [(4 << 48) + s1, (5 << 48) + s2]
-    for kind, k, n in ((1, k1, n1), (2, k2, n2)):
+    rows, keys = [], []
+    for kind, whole in ((0, s1), (3, s2)):
+        for at, (p, q) in enumerate(combinations(parts, 2)):
+            rows.append(row)
+            keys.append((kind + at << 48) + (whole << 2 * _PART) + (p << _PART) + q)
+    for kind, k, n, other in ((6, k1, n1, s2), (8, k2, n2, s1)):
         for i in range(6):
             some = n > i
-            rows.append(row[some])
+            rows += [row[some]] * 2
             keys.append((kind << 48) + (rest[some] << 12) + k[some, i])
+            keys.append((kind + 1 << 48) + (other[some] << 12) + k[some, i])
     for i in range(6):
         for j in range(6):
             some = (n1 > i) & (n2 > j)
-            rows.append(row[some])
-            keys.append((3 << 48) + (k1[some, i] << 12) + k2[some, j])
+            both = (k1[some, i] << 12) + k2[some, j] << _PART
+            for at, part in enumerate(parts):
+                rows.append(row[some])
+                keys.append((10 + at << 48) + both + part[some])
     return np.concatenate(rows), np.concatenate(keys)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import heapq
 import random
 import re
@@ -332,6 +333,27 @@ def test_golay_keys_meet_within_four_bits():
     assert {r for r, _ in keys[0] & keys[1]} == set(range(len(a)))
 
 
+@pytest.mark.parametrize("split", [s for s in itertools.product(range(5), repeat=3) if sum(s) == 4])
+def test_golay_keys_meet_however_the_bits_are_split(split):
+    rng = np.random.default_rng(sum(s * 5**i for i, s in enumerate(split)))
+    a = rng.integers(0, 2**64, 1500, dtype=np.uint64)
+    b = a.copy()
+    for i in range(len(b)):
+        for first, width, n in zip((0, 23, 46), (23, 23, 18), split, strict=True):
+            for bit in rng.choice(width, n, replace=False):
+                b[i] ^= np.uint64(1) << np.uint64(first + bit)
+    keys = [set(zip(*(x.tolist() for x in simhash.keys_of(v.view(np.int64))), strict=True)) for v in (a, b)]
+    assert {r for r, _ in keys[0] & keys[1]} == set(range(len(a)))
+
+
+def test_golay_keys_are_long_and_few_meet_by_chance():
+    fp = np.random.default_rng(2).integers(0, 2**64, 20_000, dtype=np.uint64)
+    row, key = simhash.keys_of(fp.view(np.int64))
+    assert len(row) < 125 * len(fp)
+    _, held = np.unique(key, return_counts=True)
+    assert (held * (held - 1) // 2).sum() < 2 * len(fp) ** 2 / 2**20
+
+
 @pytest.mark.parametrize("hot", [50_000, 2])
 def test_repeats_equal_brute_force(docs, empty, hot):
     length = 60
