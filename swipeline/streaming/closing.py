@@ -30,7 +30,8 @@ def final_before(spark: SparkSession, progress: str, query: str) -> str | None:
     if of_query is None:
         return None
     newest = of_query.where("watermark is not null").agg(F.max_by("watermark", F.struct("at", "batch_id")).alias("w"))
-    mark = newest.select(F.to_date(F.to_timestamp("w")).cast("string")).first()[0]
+    # The stored text is in UTC, as the dates are, whatever the session's time zone.
+    mark = newest.select(F.substring("w", 1, 10)).first()[0]
     return None if mark is None or mark <= "1970-01-01" else mark
 
 

@@ -4,7 +4,7 @@ import calendar
 import os
 import random
 import time
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -219,6 +219,40 @@ def test_dates_close_by_the_watermark_of_their_stream(spark, txns, scratch):
     assert rows_of(got) == rows_of(card_daily_totals(txns(*rows)))
 
 
+def test_the_mark_is_the_utc_date_of_the_newest_watermark(spark, scratch):
+    row = {"query": app.CARDS, "input_rows": 1}
+    table = [
+        {**row, "batch_id": 1, "at": datetime(2024, 1, 18, 1), "watermark": "2024-01-17T23:50:00.000Z"},
+        {**row, "batch_id": 2, "at": datetime(2024, 1, 18, 2), "watermark": "2024-01-18T00:05:00.000Z"},
+        {**row, "batch_id": 9, "at": datetime(2024, 1, 18, 3), "watermark": "2024-01-30T00:00:00.000Z", "query": app.FRAUD},
+    ]
+    spark.createDataFrame(table, "query string, batch_id long, input_rows long, at timestamp, watermark string").write.parquet(f"{scratch}/p")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert final_before(spark, f"{scratch}/p", app.CARDS) == "2024-01-18"
+        assert final_before(spark, f"{scratch}/p", app.MERCHANTS) is None
+        assert final_before(spark, f"{scratch}/none", app.CARDS) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_closing_has_a_command(spark, txns, scratch, monkeypatch):
+    zones = Zones.under(scratch)
+    monkeypatch.setattr(app, "open_session", lambda *args, **kwargs: spark)
+    monkeypatch.setattr(app.Zones, "from_env", classmethod(lambda cls, env: zones))
+    app.main(["close"])
+    closed = zones.path("analytics", app.CLOSED)
+    assert open_since(spark, closed) is None
+    day = card_daily_totals(txns({}, {"card_hash": "b"})).withColumn("batch_id", F.lit(0))
+    day.write.partitionBy("batch_id", "date").parquet(zones.path("analytics", app.CARDS))
+    progress = [(app.CARDS, 0, datetime(2024, 1, 16, 1), "2024-01-16T00:00:00.000Z")]
+    spark.createDataFrame(progress, "query string, batch_id long, at timestamp, watermark string").write.parquet(zones.path("quality", app.PROGRESS))
+    app.main(["close"])
+    assert open_since(spark, closed) == "2024-01-16"
+    assert spark.read.parquet(closed).count() == 2
+
+
 def test_broken_transactions_of_a_stream_are_stored_apart(spark, txns, scratch):
     zones = Zones.under(scratch)
     write_landing(txns({"currency": "usd"}, {"amount": -1}, {"merchant_id": None}), zones)
