@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,13 +40,30 @@ def landing_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
         # A batch is read more than once; one that comes out of keyed state must not be computed twice.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_owned(batch, path, f"stream-{query}-{batch_id}", "replace")
+            with _adaptive(batch.sparkSession):
+                write_owned(batch, path, f"stream-{query}-{batch_id}", "replace")
         finally:
             batch.unpersist()
 
     return write
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for a write of finished rows.
+
+    Spark turns it off for a query with state, and then leaves out the rebalancing of a write without a word:
+    each of the state's partitions would write a file into every folder.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def score_batches(
     df: DataFrame, path: str, checkpoint: str, trigger: dict, config: FraudConfig, name: str | None = None
 ) -> StreamingQuery:

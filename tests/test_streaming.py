@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import calendar
+import glob
 import os
 import random
 import time
@@ -473,6 +474,17 @@ def test_a_replayed_batch_changes_no_stream_table(spark, txns, scratch):
     assert rows_of(aside.drop(kafka.ARRIVED)) == rows_of(txns(*rows[:40]))
 
 
+def test_a_batch_with_state_lands_in_few_files(spark, txns, scratch):
+    rows, zones = traffic(), Zones.under(f"{scratch}/z")
+    publish(txns, f"{scratch}/topic", "first", rows)
+    fresh, _ = once_each(table_stream(spark, f"{scratch}/topic/*/", TOPIC))
+    land(fresh, zones.path("landing", "transactions"), f"{scratch}/cp", ONCE).awaitTermination()
+    assert rows_of(read_landing(spark, zones).drop("date", "hour")) == rows_of(txns(*rows))
+    hours = {f"{r['timestamp']:%Y-%m-%d %H}" for r in rows}
+    files = glob.glob(f"{scratch}/z/landing/transactions/date=*/hour=*/batch=*/*.json")
+    assert len(files) == len(hours) > 4
+
+
 def test_records_without_an_id_pass_and_odd_times_are_set_aside(spark, txns, scratch):
     rows = [{"transaction_id": None}] * 3 + [{"transaction_id": "a"}] * 2 + [{"transaction_id": "b"}]
     publish(txns, f"{scratch}/topic", "now", rows, hours=1)
