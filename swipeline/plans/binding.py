@@ -45,23 +45,33 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = places(spark, sf_dir)
-    return table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey",
-        "s_name",
-        F.col("s_nationkey").cast("string").alias("acquirer_id"),
-        F.col("n_name").alias("country_code"),
-        F.col("r_name").alias("currency"),
+def _with_sellers(spark: SparkSession, sf_dir: str, facts: DataFrame, key: str) -> DataFrame:
+    """``facts`` with the columns of their supplier.
+
+    Spark takes the size of a join for the product of its sides, so a supplier already joined with its nation
+    would look too large to broadcast and move all facts. Each table is joined by its own size instead.
+    """
+    sellers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nations = places(spark, sf_dir).select(
+        F.col("n_nationkey").alias("_seller_nation"), F.col("n_name").alias("country_code"), F.col("r_name").alias("currency")
+    )
+    return (
+        facts.join(sellers, F.col(key) == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("_seller_nation"))
+        .withColumn("acquirer_id", F.col("s_nationkey").cast("string"))
     )
 
 
-def _holders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = places(spark, sf_dir)
-    return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey",
-        F.col("c_nationkey").cast("string").alias("issuer_id"),
-        F.col("r_name").alias("_holder_region"),
+def _with_holders(spark: SparkSession, sf_dir: str, facts: DataFrame, key: str) -> DataFrame:
+    """``facts`` with issuer and region of their customer, as :func:`_with_sellers`."""
+    holders = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nations = places(spark, sf_dir).select(
+        F.col("n_nationkey").alias("_holder_nation"), F.col("r_name").alias("_holder_region")
+    )
+    return (
+        facts.join(holders, F.col(key) == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("_holder_nation"))
+        .withColumn("issuer_id", F.col("c_nationkey").cast("string"))
     )
 
 
@@ -90,9 +100,9 @@ def card_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
         kind.alias("transaction_type"),
         F.when(refused, "51").otherwise("00").alias("response_code"),
     )
+    sold = _with_sellers(spark, sf_dir, facts, "_seller")
     return (
-        facts.join(_sellers(spark, sf_dir), F.col("_seller") == F.col("s_suppkey"))
-        .join(_holders(spark, sf_dir), F.col("user_id") == F.col("c_custkey"))
+        _with_holders(spark, sf_dir, sold, "user_id")
         .select(
             F.col("event_id").cast("string").alias("transaction_id"),
             card_token(F.col("user_id")).alias("card_hash"),
@@ -115,7 +125,10 @@ def card_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions from lineitems."""
+    """Transactions from lineitems.
+
+    Orders meet their customers first, and texts are made last: facts move once, by order, and narrow.
+    """
     kind = (
         F.when(F.col("l_returnflag") == "N", "purchase")
         .when(F.col("l_returnflag") == "A", "refund")
@@ -126,26 +139,26 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
-        kind.alias("transaction_type"),
-        F.col("l_extendedprice"),
-        F.col("l_shipdate").cast("timestamp").alias("timestamp"),
+        "l_linenumber",
+        "l_returnflag",
+        "l_linestatus",
+        "l_extendedprice",
+        "l_shipdate",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    sold = facts.join(_with_holders(spark, sf_dir, orders, "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return (
-        facts.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(_sellers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(_holders(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+        _with_sellers(spark, sf_dir, sold.join(part, F.col("l_partkey") == F.col("p_partkey")), "l_suppkey")
+        .withColumn("transaction_type", kind)
         .select(
-            "transaction_id",
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
             F.col("o_custkey").cast("string").alias("card_hash"),
             F.col("l_suppkey").cast("string").alias("merchant_id"),
             F.col("p_brand").alias("merchant_category_code"),
             _signed(F.col("l_extendedprice"), F.col("transaction_type")).alias("amount"),
             "currency",
-            "timestamp",
+            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
             "transaction_type",
             "country_code",
             "acquirer_id",
