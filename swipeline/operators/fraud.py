@@ -249,36 +249,43 @@ def _ordinary(df: DataFrame, config: FraudConfig) -> DataFrame:
 
 
 def _cuts(moments: DataFrame, rows: Column) -> DataFrame:
-    """(_moment, _cuts, _tops): places within the busy seconds, in order, and every ``_CUT_RUN``-th of them.
+    """(_moment, _cuts): places within the busy seconds, in order.
 
     About ``_CUTS`` of all ``rows`` are drawn by their hash, so a second gets as many places as it has
     rows to cut; one with fewer than two stays whole.
     """
     part = F.xxhash64("_moment", "_place").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
     drawn = moments.select("_moment", "_place").where(part * rows < _CUTS)
-    cuts = drawn.groupBy("_moment").agg(F.sort_array(F.collect_set("_place")).alias("_cuts")).where(F.size("_cuts") > 1)
-    return cuts.withColumn("_tops", F.filter("_cuts", lambda _, i: i % _CUT_RUN == 0))
+    return drawn.groupBy("_moment").agg(F.sort_array(F.collect_set("_place")).alias("_cuts")).where(F.size("_cuts") > 1)
 
 
-def _piece() -> Column:
-    """Number of the cuts up to a row's place: first among the tops, then in the run that begins there."""
-
-    def up_to(places: Column) -> Column:
-        return F.size(F.filter(places, lambda cut: cut <= F.col("_place")))
-
-    begin = (up_to(F.col("_tops")) - 1) * _CUT_RUN
-    inside = up_to(F.slice("_cuts", F.greatest(begin, F.lit(0)) + 1, F.lit(_CUT_RUN)))
-    return F.when(F.col("_cuts").isNull() | (begin < 0), 0).otherwise(begin + inside).cast("int")
+def _up_to(places: str) -> Column:
+    """How many of the ``places`` lie up to a row's own."""
+    return F.size(F.filter(places, lambda cut: cut <= F.col("_place")))
 
 
 def in_pieces(df: DataFrame, rows: Column) -> DataFrame:
-    """Rows of busy cards with their ``_moment`` (card and second) and the ``_piece`` of it they lie in."""
+    """Rows of busy cards with their ``_moment`` (card and second) and the ``_piece`` of it they lie in.
+
+    A row looks its place up among every ``_CUT_RUN``-th cut of its second, and then in the run that begins
+    there. The runs are joined apart, so a row carries two short lists and never all cuts of its second.
+    """
     # Keys are structs so that an absent card or time is a key of its own, as in a window.
     moments = df.withColumns(
         {"_moment": F.struct("card_hash", "_second"), "_place": F.struct("timestamp", "transaction_id")}
     )
-    placed = moments.join(F.broadcast(_cuts(moments, rows)), "_moment", "left")
-    return placed.withColumn("_piece", _piece()).drop("_cuts", "_tops", "_place")
+    cuts = _cuts(moments, rows)
+    tops = cuts.select("_moment", F.filter("_cuts", lambda _, i: i % _CUT_RUN == 0).alias("_tops"))
+    starts = F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / _CUT_RUN).cast("int"))
+    runs = cuts.select(
+        "_moment",
+        F.posexplode(F.transform(starts, lambda i: F.slice("_cuts", i * _CUT_RUN + 1, F.lit(_CUT_RUN)))).alias("_run", "_inside"),
+    )
+    topped = moments.join(F.broadcast(tops), "_moment", "left")
+    begun = topped.withColumn("_run", F.when(F.col("_tops").isNotNull(), _up_to("_tops") - 1)).drop("_tops")
+    placed = begun.join(F.broadcast(runs), ["_moment", "_run"], "left")
+    piece = F.when(F.col("_inside").isNull(), 0).otherwise(F.col("_run") * _CUT_RUN + _up_to("_inside"))
+    return placed.withColumn("_piece", piece.cast("int")).drop("_run", "_inside", "_place")
 
 
 def _busy(df: DataFrame, config: FraudConfig, rows: Column) -> DataFrame:
