@@ -221,3 +221,15 @@ def test_one_card_with_a_third_of_all_rows(spark):
         )
     assert results[0] == results[1]
     assert any(r.card_hash == "hot" and "VELOCITY" in r.fraud_reasons for r in results[0])
+
+
+def test_the_facts_of_the_ledger_move_once(spark):
+    plan = initial(ledger(spark, SF))
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", plan)) <= 1
+    assert not re.search(r"Exchange hashpartitioning\((l_suppkey|l_partkey|o_custkey)", plan)
+
+
+def test_rows_of_busy_seconds_do_not_carry_all_cuts(spark):
+    timed = _hot(spark).withColumns({"_second": epoch_second(), "_route": F.xxhash64("card_hash")})
+    row_side = initial(fraud.in_pieces(timed, F.lit(20_000))).split("BroadcastExchange")[0]
+    assert "_piece" in row_side and not re.search(r"\b_cuts#", row_side)
