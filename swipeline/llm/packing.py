@@ -11,9 +11,11 @@ and take the places of their rank, so no task and no driver sees more than its p
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,9 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PLACES = "class int, first long, last long, sequence long, each long, place int"
 _TOKENIZERS: dict[str, object] = {}
 #: Latin letters that stay one letter when lower-cased, then ASCII marks without the apostrophe.
-_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{0,80})([!-&(-/:;=?@\[-`{}~]{0,80})")
+_PLAIN = re.compile(
+    r"^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{0,80})([!-&(-/:;=?@\[-`{}~]{0,80})|([^\n]+))$", re.MULTILINE
+)
 
 
 class WordIds:
@@ -35,13 +39,16 @@ class WordIds:
 
     The vocabulary drops white space before anything else, so a text's ids are those of its words one
     after the other. Most words are Latin letters, then ASCII marks; such a word is encoded by these
-    two parts, each of which the vocabulary ends with an id of its own kind. Beyond ``room``
-    words a task starts a new store, and keeps the one before for the words that come up again.
+    two parts, each of which the vocabulary ends with an id of its own kind. Beyond ``room`` words a
+    new store is started, and the one before is kept for the words that come up again; parts have
+    twice that room.
     """
 
     def __init__(self, path: str, room: int = 150_000):
         from tokenizers import Tokenizer
 
+        # A task has a core of its own; threads within it would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         if path not in _TOKENIZERS:
             tokenizer = Tokenizer.from_file(path)
             last = np.zeros(tokenizer.get_vocab_size() + 1, bool)
@@ -51,39 +58,42 @@ class WordIds:
         self.room = room
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in encoded]
 
     def _encode(self, words: list[bytes]) -> None:
-        """Adds the words to those known."""
-        texts = [w.decode("utf-8") for w in words]
-        split = [m and m.groups() for m in map(_PLAIN.fullmatch, texts)]
-        new = list({part for s in split if s for part in s if part and part not in self.parts})
+        """Adds the words to those known; in runs, so that few parts are held at once."""
+        for at in range(0, len(words), 4096):
+            run = words[at : at + 4096]
+            split = _PLAIN.findall(b"\n".join(run).decode("utf-8"))
+            self._add_parts(list({part for s in split for part in s[:2]}.difference(self.parts)))
+            parts, odd = self.parts, []
+            for word, (letters, marks, other) in zip(run, split, strict=True):
+                if other:
+                    odd.append((word, other))
+                else:
+                    self.known[word] = parts[letters] + parts[marks]
+            if odd:
+                for (word, _), ids in zip(odd, self._ids([o for _, o in odd]), strict=True):
+                    self.known[word] = ids.tobytes()
+
+    def _add_parts(self, new: list[str]) -> None:
         runs = [new[i : i + 500] for i in range(0, len(new), 500)]
         for run, ids in zip(runs, self._ids([" ".join(run) for run in runs]), strict=True):
             ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
             raw = ids.tobytes()
             for part, a, b in zip(run, [0, *ends[:-1]], ends, strict=True):
                 self.parts[part] = raw[a * 4 : b * 4]
-        self.parts[""] = b""
-        odd = []
-        for word, s in zip(words, split, strict=True):
-            if s:
-                self.known[word] = self.parts[s[0]] + self.parts[s[1]]
-            else:
-                odd.append(word)
-        for word, ids in zip(odd, self._ids([w.decode("utf-8") for w in odd]), strict=True):
-            self.known[word] = ids.tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
         if len(self.known) > self.room:
             self.known, self.before = {}, self.known
-        if len(self.parts) > self.room:
-            self.parts = {}
+        if len(self.parts) > 2 * self.room:
+            self.parts = {"": b""}
         missing = set().union(*split).difference(self.known)
         again = missing.intersection(self.before)
         self.known.update((w, self.before[w]) for w in again)
@@ -93,13 +103,19 @@ class WordIds:
         return [b"".join(map(find, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def _words_of(tokenizer: str) -> WordIds:
+    """One store for all tasks that a Python worker runs one after the other."""
+    return WordIds(tokenizer)
+
+
 def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int, step: int, with_ids: bool = False) -> DataFrame:
     """The pieces of every document: whole windows from its start, then the rest."""
     schema = PIECES + (", ids binary" if with_ids else "")
     names = StructType.fromDDL(schema).fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, last = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
+        words, last = _words_of(tokenizer), np.array([end_id], "<u4").tobytes()
         for whole in batches:
             for batch in batches_of(whole, "text", 2 << 20):
                 rows: list[list] = [[] for _ in names]

@@ -101,3 +101,17 @@ def test_stages_of_an_empty_table(spark, table):
     none = table.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, SF).count() == 0, name
+
+
+def test_odd_words_encode_alike_in_one_run():
+    path = tokenizer_path("word_bpe_49k.json")
+    odd = ["(a)", "don't", "x1", "é", "ß", "日本", "a\x1cb", "a b", "a\x85b", " ", "z" * 200, "!" * 200, "...", "A.", "�"]
+    text = " ".join(odd + [f"w{'ab'[i % 2] * (i % 7)}{',' * (i % 3)}" for i in range(9000)])
+    store = packing.WordIds(path)
+    assert store.encode([text, None, "", text[:50]])[0] == b"".join(i.tobytes() for i in store._ids([text]))
+    assert len(store.parts) < 60 and b"don't" in store.known
+
+
+def test_one_store_serves_the_tasks_of_a_worker():
+    path = tokenizer_path("word_bpe_49k.json")
+    assert packing._words_of(path) is packing._words_of(path)
