@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -115,3 +115,35 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(20,0)"))).first())
+
+
+def meeting(rows: DataFrame) -> DataFrame:
+    """Those of the rows (key, part, ...) whose key has several parts, with its number of rows as ``n``."""
+    of_key = Window.partitionBy("key")
+    parts = rows.withColumns({"low": F.min("part").over(of_key), "high": F.max("part").over(of_key), "n": F.count("*").over(of_key)})
+    return parts.where("low < high").drop("low", "high")
+
+
+def beside_hub(rows: DataFrame, name: str, columns: list[str], turn: int) -> DataFrame:
+    """The rows with the ``columns`` of one row of their key as ``hub``, chosen by hash; without that row.
+
+    ``name`` tells the rows of a key apart.
+    """
+    place = F.xxhash64("key", name, F.lit(turn))
+    hubs = rows.groupBy("key").agg(F.min_by(F.struct(*columns), F.struct(place, name)).alias("hub"))
+    return rows.join(hubs, "key").where(F.col(name) != F.col(f"hub.{name}"))
+
+
+def across(rows: DataFrame, columns: list[str], near: Callable[[str, str], Column]) -> DataFrame:
+    """Pairs (a, b) of rows of one key and of different parts, each once, where ``near`` holds.
+
+    The key's largest part meets the other rows only, so what has one large part is not compared with
+    the square of its rows. What is not near does not leave the join.
+    """
+    sizes = rows.groupBy("key", "part").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("key").agg(F.max_by("part", F.struct("rows", "part")).alias("main"))
+    row = F.struct(*columns)
+    a = rows.join(main, "key").where("part <> main").select("key", "main", row.alias("a")).alias("l")
+    b = rows.select("key", row.alias("b")).alias("r")
+    once = (F.col("b.part") == F.col("main")) | (F.col("a.part") < F.col("b.part"))
+    return a.join(b, (F.col("l.key") == F.col("r.key")) & once & near("a", "b")).select("a", "b")

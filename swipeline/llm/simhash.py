@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipeline.llm.common import batches_of, components, stored
+from swipeline.llm.common import across, batches_of, beside_hub, components, meeting, stored
 
 BITS = 4
 _WORD, _REST, _PART = (1 << 23) - 1, (1 << 18) - 1, 6
@@ -81,9 +81,13 @@ def _shingle_hashes(text: str, size: int) -> list[int]:
 
 def fingerprints_of(texts: list[str | None], shingle: int = 4) -> np.ndarray:
     """64-bit fingerprints; zero for a text without words."""
-    held = [_shingle_hashes(t or "", shingle) for t in texts]
+    return fingerprints_from([_shingle_hashes(t or "", shingle) for t in texts])
+
+
+def fingerprints_from(held: list[list[int]]) -> np.ndarray:
+    """64-bit fingerprints of texts by the hashes of their shingles, repeats included; zero for none."""
     n = np.array([len(h) for h in held], np.int64)
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros(len(held), np.uint64)
     some = np.flatnonzero(n)
     first = 0
     # Groups of texts of about 2^18 shingles: the matrix of bits stays small.
@@ -192,22 +196,32 @@ def _stars(classes: DataFrame) -> DataFrame:
 def link(classes: DataFrame) -> DataFrame:
     """(fp, component): every pair of the distinct fingerprints ``fp`` within four bits ends in one
     component, named by its least fingerprint.
+
+    Where classes of several parts share a key, all are compared with one of them at a time, which then
+    leaves the key; what is linked becomes one part. This is linear in the rows, and goes on until few
+    links are to be expected, which one join then finds.
     """
     stars = components(_stars(classes), "fp", "hub")
     parts = stored(_relabel(classes.select("fp", F.col("fp").alias("part")), stars), "parts")
-    keyed = _keyed(parts)
-    a, b = keyed.alias("a"), keyed.alias("b")
-    # Classes already in one part need no further link; the rest of the condition is the comparison
-    # itself, so that candidates which fail it never leave the join.
-    met = (F.col("a.key") == F.col("b.key")) & (F.col("a.part") < F.col("b.part")) & _near("a.fp", "b.fp")
-    found = a.join(b, met).select(F.col("a.part").alias("x"), F.col("b.part").alias("y"))
-    joined = components(found.distinct(), "x", "y")
-    return _relabel(parts, joined).select("fp", F.col("part").alias("component"))
-
-
-def _relabel(parts: DataFrame, found: DataFrame) -> DataFrame:
+    rows, turn, ahead = stored(meeting(_keyed(parts)), "meeting"), 0, 1
+    while ahead:
+        seen = beside_hub(rows, "fp", ["fp", "part"], turn)
+        links = seen.where((F.col("part") != F.col("hub.part")) & _near("fp", "hub.fp"))
+        found = stored(links.select(F.col("part").alias("x"), F.col("hub.part").alias("y"), "n"), "found")
+        joined = stored(components(found, "x", "y"), "joined")
+        parts = stored(_relabel(parts, joined), "parts")
+        rows = stored(meeting(_relabel(seen.select("key", "fp", "part"), joined, "key")), "meeting")
+        # The links left, judged by those of one row of each key, against the rows left.
+        ahead = (found.agg(F.sum("n")).first()[0] or 0) > 2 * rows.count()
+        turn += 1
+    left = across(rows, ["fp", "part"], lambda a, b: _near(f"{a}.fp", f"{b}.fp"))
+    found = left.select(F.col("a.part").alias("x"), F.col("b.part").alias("y"))
+    return _relabel(parts, components(found, "x", "y")).select("fp", F.col("part").alias("component"))
+
+
+def _relabel(parts: DataFrame, found: DataFrame, *more: str) -> DataFrame:
     return parts.join(found, parts["part"] == found["node"], "left").select(
-        "fp", F.coalesce("component", "part").alias("part")
+        *more, "fp", F.coalesce("component", "part").alias("part")
     )
 
 
