@@ -63,6 +63,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts whose sets of five-word shingles are alike to 0.8 or more, one row, with the smallest
     doc_id; one without a doc_id only if all are. Rows are told apart by their text, not their doc_id.
+    SimHash groups of the same shingles propose copies first, MinHash what lies beyond their four bits.
 
     Null counts as the empty text; equal rows are one; an empty table stays empty.
     """

@@ -1,9 +1,13 @@
-"""Near copies by the share of their word shingles: MinHash bands propose pairs, whole sets confirm them.
-
-Two texts are linked if the sets of their shingles have a Jaccard similarity of ``least`` or more. A
-text has 20 keys of 5 minima each: a pair at 0.8 has no key in common with chance (1 - 0.8^5)^20, one in
-2,800, and a more similar pair less. Of what shares a key, all are compared with the key's first text;
-then, across the groups this makes, each with each.
+"""Near copies by the share of their word shingles: SimHash groups, then MinHash bands, whole sets confirm them.
+
+Two texts are linked if the sets of their shingles have a Jaccard similarity of ``least`` or more. The
+SimHash groups of `simhash.link` (fingerprints of the same shingles within four bits, met by Golay keys) propose
+first. Four bits of 64 leave out most pairs near 0.8, so what is still apart is met by MinHash too: a text
+has 20 keys of 5 minima each, and a pair at 0.8 has no key in common with chance (1 - 0.8^5)^20, one in
+2,800, a more similar pair less. Of the texts that share a key but no group, all are compared with one at a time
+while groups fall together; then, across the groups left, each with each. Bitmaps of 512 bits, the
+parities of the hashes' counts, differ in no more bits than the sets in shingles: pairs that these rule
+out are not compared.
 """
 
 from __future__ import annotations
@@ -12,18 +16,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipeline.llm.common import batches_of, components, stored, text_or_empty, tidy
-from swipeline.llm.simhash import _shingle_hashes
+from swipeline.llm.common import across, batches_of, beside_hub, components, forget, meeting, stored, text_or_empty, tidy
+from swipeline.llm.simhash import _shingle_hashes, fingerprints_from, link
 
 BANDS, MINIMA = 20, 5
+#: Longs of a bitmap.
+LONGS = 8
+
 
+def set_of(hashes: list[int]) -> np.ndarray:
+    """The distinct hashes, sorted; texts without words share one of their own."""
+    return np.unique(np.array(hashes or [0], np.uint64))
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct shingles' hashes, sorted; texts without words share one of their own."""
-    return np.unique(np.array(_shingle_hashes(text or "", shingle) or [0], np.uint64))
+
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """(n, LONGS): a bit is set if an odd number of the set's hashes fall on it."""
+    every = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    word = (every >> np.uint64(6)) % np.uint64(LONGS)
+    out = np.zeros(len(sets) * LONGS, np.uint64)
+    np.bitwise_xor.at(out, row * LONGS + word.astype(np.int64), np.uint64(1) << (every & np.uint64(63)))
+    return out.reshape(-1, LONGS).view(np.int64)
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -45,49 +61,72 @@ def _digest():
     return F.unhex(F.sha2(text_or_empty().cast("binary"), 256)).alias("digest")
 
 
+def _lists(values: np.ndarray) -> pa.Array:
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1])
+    return lists.cast(pa.list_(pa.int64()))
+
+
 def _keyed(docs: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in batches_of(whole, "text", 2 << 20):
-                sets = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
-                keys = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(sets).ravel()), BANDS).cast(pa.list_(pa.int64()))
+                hashes = [_shingle_hashes(t, shingle) for t in batch.column("text").to_pylist()]
+                sets = [set_of(h) for h in hashes]
                 size = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), size, keys], ["doc_id", "digest", "size", "keys"])
+                fp = pa.array(fingerprints_from(hashes).view(np.int64))
+                columns = [size, fp, _lists(bitmaps(sets)), _lists(band_keys(sets))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("digest"), *columns], ["doc_id", "digest", "size", "fp", "bits", "keys"]
+                )
 
-    return docs.select("doc_id", _digest(), "text").mapInArrow(run, "doc_id long, digest binary, size long, keys array<long>")
+    schema = "doc_id long, digest binary, size long, fp long, bits array<long>, keys array<long>"
+    return docs.select("doc_id", _digest(), text_or_empty().alias("text")).mapInArrow(run, schema)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, least: float, shingle: int) -> DataFrame:
-    """Those of the (a, b) whose sets are alike enough."""
+def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(node, held): the shingles' hashes of each of the nodes."""
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in batches_of(whole, "text", 2 << 20):
-                sets = [shingle_set(t, shingle).tobytes() for t in batch.column("text").to_pylist()]
+                sets = [set_of(_shingle_hashes(t, shingle)).tobytes() for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "held"])
 
+    wanted = classes.select("node", "digest").join(nodes.distinct(), "node")
+    texts = docs.select(_digest(), text_or_empty().alias("text")).join(wanted, "digest").select("node", "text")
+    return texts.mapInArrow(run, "node long, held binary").groupBy("node").agg(F.first("held").alias("held"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(x, y), the parts of those pairs (a, b, x, y) whose sets are alike enough."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alike = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                alike.append(both >= least * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+            for s, t in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist(), strict=True):
+                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                alike.append(both >= least * (len(s) + len(t) - both))
+            yield batch.select(["x", "y"]).filter(pa.array(alike, pa.bool_()))
+
+    rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("held").alias("s")), "a")
+    rows = rows.join(sets.select(F.col("node").alias("b"), F.col("held").alias("t")), "b")
+    return rows.select("x", "y", "s", "t").mapInArrow(compare, "x long, y long")
 
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = classes.select("node", "digest").join(nodes, "node")
-    texts = docs.select(_digest(), "text").join(wanted, "digest").select("node", "text")
-    sets = stored(texts.mapInArrow(sets_of, "node long, held binary").groupBy("node").agg(F.first("held").alias("held")), "sets")
-    rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("held").alias("x")), "a")
-    rows = rows.join(sets.select(F.col("node").alias("b"), F.col("held").alias("y")), "b")
-    return rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` with those joined that links (x, y) connect."""
+    found = components(links, "x", "y").withColumnRenamed("node", "part")
+    joined = parts.join(found, "part", "left").withColumn("part", F.coalesce("component", "part"))
+    return stored(joined.drop("component"), "parts")
 
-def _parts(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """``classes`` with their part, by links between nodes."""
-    found = components(links, "a", "b")
-    return classes.drop("part").join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+
+def _near(a: str, b: str, least: float) -> Column:
+    """What sets alike to ``least`` fulfil by their sizes and bitmaps; ``a`` and ``b`` are prefixes of columns."""
+    size_a, size_b = F.col(a + "size"), F.col(b + "size")
+    differ = sum(F.bit_count(F.col(a + "bits")[i].bitwiseXOR(F.col(b + "bits")[i])) for i in range(LONGS))
+    most = (size_a + size_b) * F.lit((1 - least) / (1 + least)) + F.lit(1e-6)
+    return (F.least(size_a, size_b) >= F.lit(least) * F.greatest(size_a, size_b)) & (differ <= most)
 
 
 def similar_groups(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -98,20 +137,42 @@ def similar_groups(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> Dat
     rows; other columns than doc_id and text are not read.
     """
     rows = stored(_keyed(docs, shingle), "keys")
-    texts = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    held = [F.first(c).alias(c) for c in ("size", "fp", "bits", "keys")]
+    texts = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *held)
     classes = stored(texts.withColumn("node", F.monotonically_increasing_id()), "classes")
+    forget(rows)
+    alike = classes.select("node", "fp").join(link(classes.select("fp").distinct()), "fp")
+    firsts = alike.groupBy("component").agg(F.min("node").alias("a"))
+    pairs = alike.join(firsts, "component").where("node <> a").select("a", F.col("node").alias("b"))
+    pairs = stored(pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")), "pairs")
+    tidy(docs.sparkSession)
     banded = classes.select("node", F.explode("keys").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    pairs = stored(banded.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
-    stars = stored(_confirmed(pairs, docs, classes, least, shingle), "links")
+    several = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = stored(banded.join(several, "key"), "shared")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(shared.select("node"))
+    sets = stored(_sets(nodes, docs, classes, shingle), "sets")
     tidy(docs.sparkSession)
-    parts = stored(_parts(classes, stars), "parts")
-    banded = parts.select("node", "part", "size", F.explode("keys").alias("key"))
-    shared = banded.join(hubs.select("key"), "key", "left_semi")
-    other = shared.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "part", "size")])
-    sized = F.least("size", "size_b") >= F.lit(least) * F.greatest("size", "size_b")
-    met = shared.join(other, "key").where((F.col("part") < F.col("part_b")) & sized)
-    rest = stored(met.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-    links = stored(stars.union(_confirmed(rest, docs, classes, least, shingle)), "links")
+
+    columns = ["node", "part", "size", "bits"]
+    parts = _merged(classes.select("digest", "doc_id", *columns[2:], "node", F.col("node").alias("part")), _confirmed(pairs, sets, least))
+    rows, turn, more = stored(meeting(shared.join(parts.select(*columns), "node")), "meeting"), 0, True
+    while more:
+        seen = beside_hub(rows, "node", columns, turn)
+        apart = seen.where((F.col("part") != F.col("hub.part")) & _near("", "hub.", least))
+        ends = [F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.part").alias("x"), F.col("part").alias("y")]
+        pairs = stored(apart.select(*ends, "n").groupBy("a", "b", "x", "y").agg(F.sum("n").alias("n")), "pairs")
+        links = stored(_confirmed(pairs, sets, least), "links")
+        parts = _merged(parts, links)
+        rows = stored(meeting(seen.select("key", "node").join(parts.select(*columns), "node")), "meeting")
+        # The pairs left, judged by those of one row of each key, against the rows left.
+        tried, ahead = pairs.agg(F.count("*"), F.sum("n")).first()
+        more = (ahead or 0) > 2 * rows.count() and 4 * links.count() > tried
+        turn += 1
+    left = across(rows, columns, lambda a, b: _near(f"{a}.", f"{b}.", least))
+    ends = [F.col(c).alias(n) for c, n in (("a.node", "a"), ("b.node", "b"), ("a.part", "x"), ("b.part", "y"))]
+    pairs = stored(left.select(*ends).distinct(), "pairs")
+    parts = _merged(parts, _confirmed(pairs, sets, least))
+    for done in (sets, shared, classes):
+        forget(done)
     tidy(docs.sparkSession)
-    return _parts(classes, links).select("digest", "doc_id", "part")
+    return parts.select("digest", "doc_id", "part")
