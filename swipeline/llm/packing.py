@@ -12,13 +12,13 @@ and take the places of their rank, so no task and no driver sees more than its p
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,24 +28,30 @@ from swipeline.llm.common import batches_of, stored
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int"
 PLACES = "class int, first long, last long, sequence long, each long, place int"
 _TOKENIZERS: dict[str, object] = {}
-#: Latin letters that stay one letter when lower-cased, then ASCII marks without the apostrophe.
-_PLAIN = re.compile(
-    r"^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{0,80})([!-&(-/:;=?@\[-`{}~]{0,80})|([^\n]+))$", re.MULTILINE
-)
+#: ASCII marks without the apostrophe and what special tokens are made of.
+_MARKS = "".join(map(chr, (*range(33, 39), *range(40, 48), 58, 59, 61, 63, 64, *range(91, 97), 123, 125, 126)))
+#: Latin letters that stay one letter when lower-cased.
+_LETTERS = "".join(map(chr, (*range(65, 91), *range(97, 123), *range(192, 215), *range(216, 247), *range(248, 256))))
+
+
+def _listed(column: pa.Array) -> list:
+    """The values; by way of NumPy, since ``to_pylist`` makes a scalar of each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 class WordIds:
-    """Ids of texts as little-endian bytes, looked up by words without ASCII white space.
+    """Ids of texts as little-endian bytes, looked up by parts of words without ASCII white space.
 
     The vocabulary drops white space before anything else, so a text's ids are those of its words one
     after the other. Most words are Latin letters, then ASCII marks; such a word is encoded by these
-    two parts, each of which the vocabulary ends with an id of its own kind. Beyond ``room`` words a
-    new store is started, and the one before is kept for the words that come up again; parts have
-    twice that room.
+    two parts, letters lower-cased, each of which the vocabulary ends with an id of its own kind. Arrow
+    finds the words and parts of all texts given and puts their ids together; only distinct parts, and
+    words of another kind, are looked up. Beyond ``room`` parts, those that come up again are kept; beyond
+    ``room`` other words a new store is started, and the one before is kept for those that come up again.
     """
 
     def __init__(self, path: str, room: int = 150_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         # A task has a core of its own; threads within it would only wait for each other.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -53,8 +59,12 @@ class WordIds:
             tokenizer = Tokenizer.from_file(path)
             last = np.zeros(tokenizer.get_vocab_size() + 1, bool)
             last[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-            _TOKENIZERS[path] = tokenizer, last
-        self.tokenizer, self.last = _TOKENIZERS[path]
+            # Lower-cased parts are normal and cut already; the same model takes them without these steps.
+            plain = Tokenizer(tokenizer.model)
+            as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
+            _TOKENIZERS[path] = tokenizer, plain, last
+        self.tokenizer, self.plain, self.last = _TOKENIZERS[path]
         self.room = room
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
@@ -64,43 +74,57 @@ class WordIds:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in encoded]
 
-    def _encode(self, words: list[bytes]) -> None:
-        """Adds the words to those known; in runs, so that few parts are held at once."""
-        for at in range(0, len(words), 4096):
-            run = words[at : at + 4096]
-            split = _PLAIN.findall(b"\n".join(run).decode("utf-8"))
-            self._add_parts(list({part for s in split for part in s[:2]}.difference(self.parts)))
-            parts, odd = self.parts, []
-            for word, (letters, marks, other) in zip(run, split, strict=True):
-                if other:
-                    odd.append((word, other))
-                else:
-                    self.known[word] = parts[letters] + parts[marks]
-            if odd:
-                for (word, _), ids in zip(odd, self._ids([o for _, o in odd]), strict=True):
-                    self.known[word] = ids.tobytes()
-
-    def _add_parts(self, new: list[str]) -> None:
-        runs = [new[i : i + 500] for i in range(0, len(new), 500)]
-        for run, ids in zip(runs, self._ids([" ".join(run) for run in runs]), strict=True):
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+    def _of_parts(self, column: pa.Array) -> pa.Array:
+        """The ids of each of the parts, some of which may be alike."""
+        found = column.dictionary_encode()
+        parts = _listed(found.dictionary)
+        if len(self.parts) > self.room:
+            self.parts = {"": b""} | {x: self.parts[x] for x in parts if x in self.parts}
+        new = [x for x in parts if x not in self.parts]
+        for at in range(0, len(new), 500):
+            run = new[at : at + 500]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0].ids, "<u4")
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
             raw = ids.tobytes()
-            for part, a, b in zip(run, [0, *ends[:-1]], ends, strict=True):
-                self.parts[part] = raw[a * 4 : b * 4]
+            self.parts.update((part, raw[a:b]) for part, a, b in zip(run, [0, *ends[:-1]], ends, strict=True))
+        return pa.array(list(map(self.parts.__getitem__, parts)), pa.large_binary()).take(found.indices)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
+    def _of_odd(self, words: list[bytes]) -> pa.Array:
+        """The ids of each of the words, encoded whole."""
         if len(self.known) > self.room:
             self.known, self.before = {}, self.known
-        if len(self.parts) > 2 * self.room:
-            self.parts = {"": b""}
-        missing = set().union(*split).difference(self.known)
-        again = missing.intersection(self.before)
-        self.known.update((w, self.before[w]) for w in again)
-        if len(again) < len(missing):
-            self._encode(list(missing.difference(again)))
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        self.known.update((w, self.before[w]) for w in words if w in self.before)
+        new = [w for w in words if w not in self.known]
+        for at in range(0, len(new), 500):
+            run = new[at : at + 500]
+            self.known.update((w, ids.tobytes()) for w, ids in zip(run, self._ids([w.decode("utf-8") for w in run]), strict=True))
+        return pa.array(list(map(self.known.__getitem__, words)), pa.large_binary())
+
+    def _ids_of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of each of the distinct words."""
+        letters, marks = pc.utf8_rtrim(words, characters=_MARKS), pc.utf8_ltrim(words, characters=_LETTERS)
+        size, head, tail = (pc.binary_length(x).to_numpy() for x in (words, letters, marks))
+        # Else the letters hold a mark or the marks a letter, or what is neither.
+        plain = (head + tail == size) & (head <= 80) & (tail <= 80)
+        parts = [pc.utf8_lower(letters.filter(pa.array(plain))), marks.filter(pa.array(plain))]
+        ids, many = self._of_parts(pa.concat_arrays(parts)), len(parts[0])
+        odd = self._of_odd(_listed(words.filter(pa.array(~plain)).cast(pa.binary())))
+        both = pc.binary_join_element_wise(ids[:many], ids[many:], pa.scalar(b"", pa.large_binary()))
+        place = np.where(plain, np.cumsum(plain) - 1, np.cumsum(~plain) - 1 + len(both))
+        return pa.concat_arrays([both, odd]).take(pa.array(place))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        if not len(texts):
+            return []
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([(t or "").encode("utf-8", "replace").decode("utf-8") for t in texts], pa.string())
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        found = split.flatten().dictionary_encode()
+        ids = self._ids_of_words(found.dictionary).take(found.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64)
+        ends = places[np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 @lru_cache(maxsize=1)
@@ -119,7 +143,7 @@ def cut(docs: DataFrame, tokenizer: str, window: int, end_id: int, step: int, wi
         for whole in batches:
             for batch in batches_of(whole, "text", 2 << 20):
                 rows: list[list] = [[] for _ in names]
-                encoded = words.encode(batch.column("text").to_pylist())
+                encoded = words.encode(batch.column("text"))
                 for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
                     ids += last
                     total = len(ids) // 4

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -115,3 +116,17 @@ def test_odd_words_encode_alike_in_one_run():
 def test_one_store_serves_the_tasks_of_a_worker():
     path = tokenizer_path("word_bpe_49k.json")
     assert packing._words_of(path) is packing._words_of(path)
+
+
+def test_words_are_looked_up_by_their_parts():
+    path = tokenizer_path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    texts = ["Haus haus, HAUS.", None, "", " \n", "Ça, ÇA... d'or «x» a|b x2 <|endoftext|> é,", "A" * 90 + "," + "!" * 90, "\x1cmuµ ßß; Haus"]
+    store = packing.WordIds(path)
+    assert [len(x) for x in store.encode(texts[:4])] == [20, 0, 0, 0]
+    assert set(store.parts) == {"", "haus", ",", "."} and not store.known
+    whole = Tokenizer.from_file(path)
+    want = [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert store.encode(texts) == store.encode(pa.array(["x", *texts])[1:]) == want
+    assert packing.WordIds(path, room=1).encode(texts) == want and store.encode([]) == []
