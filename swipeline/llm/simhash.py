@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from swipeline.llm.common import across, batches_of, beside_hub, components, meeting, stored
 
 BITS = 4
+#: Keys of up to so many rows are compared in full.
+CROWD = 16
 _WORD, _REST, _PART = (1 << 23) - 1, (1 << 18) - 1, 6
 #: Generator polynomial of the binary Golay code (fixed value).
 _GENERATOR = 0b101011100011
@@ -197,21 +199,24 @@ def link(classes: DataFrame) -> DataFrame:
     """(fp, component): every pair of the distinct fingerprints ``fp`` within four bits ends in one
     component, named by its least fingerprint.
 
-    Where classes of several parts share a key, all are compared with one of them at a time, which then
-    leaves the key; what is linked becomes one part. This is linear in the rows, and goes on until few
-    links are to be expected, which one join then finds.
+    Where more than ``CROWD`` classes of several parts share a key, all are compared with one of them at a
+    time, which then leaves the key; what is linked becomes one part. This is linear in the rows, and goes
+    on until few links are to be expected. One join then finds those, and the links of the other keys,
+    where it makes at most CROWD / 2 pairs of a row.
     """
     stars = components(_stars(classes), "fp", "hub")
     parts = stored(_relabel(classes.select("fp", F.col("fp").alias("part")), stars), "parts")
-    rows, turn, ahead = stored(meeting(_keyed(parts)), "meeting"), 0, 1
+    rows, turn = stored(meeting(_keyed(parts)), "meeting"), 0
+    ahead = not rows.where(F.col("n") > CROWD).isEmpty()
     while ahead:
-        seen = beside_hub(rows, "fp", ["fp", "part"], turn)
+        seen = beside_hub(rows.where(F.col("n") > CROWD), "fp", ["fp", "part"], turn)
         links = seen.where((F.col("part") != F.col("hub.part")) & _near("fp", "hub.fp"))
         found = stored(links.select(F.col("part").alias("x"), F.col("hub.part").alias("y"), "n"), "found")
         joined = stored(components(found, "x", "y"), "joined")
         parts = stored(_relabel(parts, joined), "parts")
-        rows = stored(meeting(_relabel(seen.select("key", "fp", "part"), joined, "key")), "meeting")
-        # The links left, judged by those of one row of each key, against the rows left.
+        left = seen.select("key", "fp", "part").union(rows.where(F.col("n") <= CROWD).select("key", "fp", "part"))
+        rows = stored(meeting(_relabel(left, joined, "key")), "meeting")
+        # The links left, judged by those of one row of each such key, against the rows left.
         ahead = (found.agg(F.sum("n")).first()[0] or 0) > 2 * rows.count()
         turn += 1
     left = across(rows, ["fp", "part"], lambda a, b: _near(f"{a}.fp", f"{b}.fp"))

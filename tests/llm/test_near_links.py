@@ -55,3 +55,28 @@ def test_simhash_links_a_large_group_linearly(spark, made):
     got = simhash.link(spark.createDataFrame([(int(x),) for x in fps], "fp long")).collect()
     assert {r["fp"]: r["component"] for r in got} == want
     assert made and sum(made) <= 107 * len(fps)
+
+
+@pytest.fixture()
+def beside(monkeypatch):
+    """The rows that the joins with one row of each key make."""
+    counts = []
+
+    def counted(*args, _beside=common.beside_hub, **names):
+        rows = _beside(*args, **names)
+        counts.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(simhash, "beside_hub", counted)
+    return counts
+
+
+def test_keys_of_few_rows_are_compared_once(spark, made, beside):
+    rng = np.random.default_rng(11)
+    some = rng.integers(0, 2**63, 150, dtype=np.int64)
+    # One bit in each segment, so no segment agrees.
+    near = some ^ np.int64(1 << 3 | 1 << 30 | 1 << 50)
+    fps = [int(x) for x in {*some.tolist(), *near.tolist()}]
+    got = {r["fp"]: r["component"] for r in simhash.link(spark.createDataFrame([(x,) for x in fps], "fp long")).collect()}
+    assert len(got) == 300 and all(got[int(a)] == got[int(b)] == min(int(a), int(b)) for a, b in zip(some, near, strict=True))
+    assert not sum(beside) and made and 150 <= sum(made) <= 107 * 150
