@@ -47,8 +47,9 @@ class Words:
         if len(self.row) > self.room:
             self.row, self.parts, self.rows = {}, [], 0
         new = list(words.difference(self.row))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        # A word has some forty features of several numbers each, so few words are held so at once.
+        for at in range(0, len(new), 4_000):
+            some = new[at : at + 4_000]
             cores = [core_of(w) for w in some]
             lettered = [c for c in cores if c]
             flat, owner = _flat(lettered, self.model.lexicon)

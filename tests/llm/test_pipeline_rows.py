@@ -130,3 +130,23 @@ def test_words_are_looked_up_by_their_parts():
     want = [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert store.encode(texts) == store.encode(pa.array(["x", *texts])[1:]) == want
     assert packing.WordIds(path, room=1).encode(texts) == want and store.encode([]) == []
+
+
+def test_few_words_are_spread_into_features_at_once(monkeypatch):
+    held = []
+
+    def spread(cores, lexicon, _flat=language._flat):
+        held.append(len(cores))
+        return _flat(cores, lexicon)
+
+    words = {f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{'efghijklmn'[i // 1000]}" for i in range(9000)}
+    model = language.train(["one two three", "uno dos tres"], ["en", "es"], rounds=2)
+    monkeypatch.setattr(language, "_flat", spread)
+    store = language.Words(model)
+    store.learn(words | {"42"})
+    assert sum(held) == 9000 and max(held) <= 4000
+    assert len(store.table()) == 9000 and store.row["42"] == -1
+    some = sorted(words)[::500]
+    flat, owner = spread([w.encode() for w in some], model.lexicon)
+    want = language._scores(model.weights, flat, owner, len(some))
+    assert np.array_equal(store.table()[[store.row[w] for w in some]], want)
