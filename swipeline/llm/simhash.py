@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from swipeline.llm.common import across, batches_of, beside_hub, components, meeting, stored
 
 BITS = 4
-#: Keys of up to so many rows are compared in full.
-CROWD = 16
+#: Keys of up to so many rows are compared in a join.
+CROWD = 4
+#: Rows of a larger key that are compared at a time.
+CHUNK = 1024
 _WORD, _REST, _PART = (1 << 23) - 1, (1 << 18) - 1, 6
 #: Generator polynomial of the binary Golay code (fixed value).
 _GENERATOR = 0b101011100011
@@ -179,49 +181,92 @@ def _near(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS
 
 
-def _stars(classes: DataFrame) -> DataFrame:
-    """Links of each class to the first class that agrees on a whole segment, where they are near.
-
-    Linear in the classes; large groups of near copies mostly fall together here, so the join below
-    has few links left to find.
+def stars(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, row): what the pairs of ``fp`` within four bits connect, as links to the first row of each group."""
+    fp, left = fp.view(np.uint64), np.arange(len(fp))
+    first, rows = [], []
+    while len(left):
+        start, left = left[0], left[1:]
+        ahead = [start]
+        while ahead and len(left):
+            near = np.bitwise_count(fp[left] ^ fp[ahead.pop()]) <= BITS
+            met, left = left[near], left[~near]
+            ahead += met.tolist()
+            first.append(np.full(len(met), start))
+            rows.append(met)
+    none = [np.empty(0, np.int64)]
+    return np.concatenate(first or none), np.concatenate(rows or none)
+
+
+def _crowded(rows: DataFrame) -> DataFrame:
+    """(x, y): links between the rows (key, fp, n) of a key, fewer than the rows.
+
+    They connect what the key's pairs within four bits do; of a key of more than ``CHUNK`` rows, what the
+    pairs of each of its chunks do, which are dealt by hash.
     """
-    segments = F.array(
-        F.col("fp").bitwiseAND(_WORD),
-        F.lit(1 << 40) + F.shiftrightunsigned("fp", 23).bitwiseAND(_WORD),
-        F.lit(2 << 40) + F.shiftrightunsigned("fp", 46).bitwiseAND(_REST),
-    )
-    rows = classes.select("fp", F.explode(segments).alias("segment"))
-    hubs = rows.groupBy("segment").agg(F.min("fp").alias("hub"))
-    return rows.join(hubs, "segment").where((F.col("fp") != F.col("hub")) & _near("fp", "hub")).select("fp", "hub")
+    columns = ["key", "chunk", "fp"]
+
+    def links(fp: np.ndarray, ends: list[int]) -> pa.RecordBatch:
+        x, y = [], []
+        for first, last in zip(ends, ends[1:], strict=False):
+            a, b = stars(fp[first:last])
+            x.append(fp[first + a])
+            y.append(fp[first + b])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)), pa.array(np.concatenate(y))], ["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * len(columns)
+        for batch in batches:
+            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, columns, strict=True)]
+            cuts = np.flatnonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0)) + 1
+            if len(cuts):
+                yield links(held[2], [0, *cuts.tolist()])
+                held = [h[cuts[-1] :] for h in held]
+        yield links(held[2], [0, len(held[2])])
+
+    chunk = F.pmod(F.xxhash64("key", "fp"), F.ceil(F.col("n") / CHUNK)).cast("long")
+    dealt = rows.select("key", chunk.alias("chunk"), "fp").repartition("key", "chunk")
+    return dealt.sortWithinPartitions(*columns).mapInArrow(run, "x long, y long")
 
 
 def link(classes: DataFrame) -> DataFrame:
     """(fp, component): every pair of the distinct fingerprints ``fp`` within four bits ends in one
     component, named by its least fingerprint.
 
-    Where more than ``CROWD`` classes of several parts share a key, all are compared with one of them at a
-    time, which then leaves the key; what is linked becomes one part. This is linear in the rows, and goes
-    on until few links are to be expected. One join then finds those, and the links of the other keys,
-    where it makes at most CROWD / 2 pairs of a row.
+    The classes of a key are compared in a join up to ``CROWD``, else in chunks of about ``CHUNK``, each of
+    which gives fewer links than it has rows. One search for components then joins all of them to parts,
+    and only keys of more than a chunk and of several parts go on: all classes are compared with one of
+    their key at a time, which then leaves the key, while many links are to be expected. One join finds
+    the rest. All but this join is linear in the rows.
     """
-    stars = components(_stars(classes), "fp", "hub")
-    parts = stored(_relabel(classes.select("fp", F.col("fp").alias("part")), stars), "parts")
+    parts = classes.select("fp", F.col("fp").alias("part"))
     rows, turn = stored(meeting(_keyed(parts)), "meeting"), 0
-    ahead = not rows.where(F.col("n") > CROWD).isEmpty()
+    links = _paired(rows.where(F.col("n") <= CROWD)).union(_crowded(rows.where(F.col("n") > CROWD)))
+    many = rows.where(F.col("n") > CHUNK)
+    joined = components(links, "x", "y")
+    ahead = not many.isEmpty()
+    if not ahead:
+        return _relabel(parts, joined).select("fp", F.col("part").alias("component"))
+    joined = stored(joined, "joined")
+    parts = stored(_relabel(parts, joined), "parts")
+    rows = stored(meeting(_relabel(many.drop("n"), joined, "key")), "meeting")
     while ahead:
-        seen = beside_hub(rows.where(F.col("n") > CROWD), "fp", ["fp", "part"], turn)
+        seen = beside_hub(rows, "fp", ["fp", "part"], turn)
         links = seen.where((F.col("part") != F.col("hub.part")) & _near("fp", "hub.fp"))
         found = stored(links.select(F.col("part").alias("x"), F.col("hub.part").alias("y"), "n"), "found")
         joined = stored(components(found, "x", "y"), "joined")
         parts = stored(_relabel(parts, joined), "parts")
-        left = seen.select("key", "fp", "part").union(rows.where(F.col("n") <= CROWD).select("key", "fp", "part"))
-        rows = stored(meeting(_relabel(left, joined, "key")), "meeting")
-        # The links left, judged by those of one row of each such key, against the rows left.
+        rows = stored(meeting(_relabel(seen.select("key", "fp", "part"), joined, "key")), "meeting")
+        # The links left, judged by those of one row of each key, against the rows left.
         ahead = (found.agg(F.sum("n")).first()[0] or 0) > 2 * rows.count()
         turn += 1
-    left = across(rows, ["fp", "part"], lambda a, b: _near(f"{a}.fp", f"{b}.fp"))
-    found = left.select(F.col("a.part").alias("x"), F.col("b.part").alias("y"))
-    return _relabel(parts, components(found, "x", "y")).select("fp", F.col("part").alias("component"))
+    return _relabel(parts, components(_paired(rows), "x", "y")).select("fp", F.col("part").alias("component"))
+
+
+def _paired(rows: DataFrame) -> DataFrame:
+    """(x, y): the parts of the pairs of rows of one key within four bits."""
+    pairs = across(rows, ["fp", "part"], lambda a, b: _near(f"{a}.fp", f"{b}.fp"))
+    return pairs.select(F.col("a.part").alias("x"), F.col("b.part").alias("y"))
 
 
 def _relabel(parts: DataFrame, found: DataFrame, *more: str) -> DataFrame:
