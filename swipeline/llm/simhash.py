@@ -244,12 +244,12 @@ def link(classes: DataFrame) -> DataFrame:
     links = _paired(rows.where(F.col("n") <= CROWD)).union(_crowded(rows.where(F.col("n") > CROWD)))
     many = rows.where(F.col("n") > CHUNK)
     joined = components(links, "x", "y")
-    ahead = not many.isEmpty()
-    if not ahead:
+    if many.isEmpty():
         return _relabel(parts, joined).select("fp", F.col("part").alias("component"))
     joined = stored(joined, "joined")
     parts = stored(_relabel(parts, joined), "parts")
     rows = stored(meeting(_relabel(many.drop("n"), joined, "key")), "meeting")
+    ahead = not rows.isEmpty()
     while ahead:
         seen = beside_hub(rows, "fp", ["fp", "part"], turn)
         links = seen.where((F.col("part") != F.col("hub.part")) & _near("fp", "hub.fp"))
